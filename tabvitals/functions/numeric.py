@@ -9,9 +9,19 @@ from pyspark.sql import types as T
 _SPLITTER = float(2**27 + 1)
 
 
+def quoted(name: str) -> str:
+    """A column name for use in SQL, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def column(name: str) -> Column:
-    """The column called exactly `name`, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """The column called exactly `name`."""
+    return F.col(quoted(name))
+
+
+def number(x: float | None) -> str:
+    """A double as SQL literal, exact to the last bit."""
+    return "CAST(NULL AS DOUBLE)" if x is None else f"CAST('{x!r}' AS DOUBLE)"
 
 
 def normalise(df: DataFrame) -> DataFrame:
@@ -49,10 +59,10 @@ def round_columns(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
     return df.selectExpr("*", *scaled).selectExpr(*columns)
 
 
-def round_scaled(x: Column, digits: int) -> Column:
-    """Round to `digits` decimals as numpy and pandas do: scale, round half to even, unscale."""
-    scale = F.lit(float(10**digits))
-    return F.rint(x * scale) / scale
+def rounded_scaled(x: str, digits: int) -> str:
+    """SQL: rounded as numpy and pandas do: scaled, rounded half to even, scaled back."""
+    scale = f"{float(10**digits)}D"
+    return f"rint({x} * {scale}) / {scale}"
 
 
 def percent(part: str, whole: str) -> Column:

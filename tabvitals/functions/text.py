@@ -1,13 +1,20 @@
-"""Column helpers for text."""
+"""Text in SQL expressions."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def number_text(x: Column) -> Column:
-    """A double of at most 4 decimals in plain notation: 14.51, 0.0, 12345678.25."""
-    plain = F.regexp_replace(x.cast("decimal(38,4)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.when(F.abs(x) < 1e16, plain).otherwise(x.cast("string"))
+def literal(text: str | None) -> str:
+    """A text as SQL literal."""
+    if text is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def number_text(x: str) -> str:
+    """SQL: a double of at most 4 decimals in plain notation: 14.51, 0.0, 12345678.25."""
+    plain = f"regexp_replace(CAST(CAST({x} AS DECIMAL(38,4)) AS STRING), r'(\\.\\d+?)0+$', '$1')"
+    return f"IF(abs({x}) < 1e16D, {plain}, CAST({x} AS STRING))"
 
 
 def strip(text: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from tabvitals.functions.grading import KEY_DUPLICATE_LIMIT
 from tabvitals.functions.numeric import column, normalise, percent, round_columns
 from tabvitals.operators.measure import ROWS, materialise, merge_rows
+from tabvitals.operators.overview import names
 
 # Repeated fingerprints up to this number (8 bytes each) are broadcast.
 BROADCAST_LIMIT = 500_000
@@ -96,7 +97,7 @@ def duplicate_rows(measured: DataFrame, df: DataFrame, key_columns: list[str]) -
         percent("full_repeats", ROWS).alias("full_duplicate_pct"),
         F.col("key_repeats").alias("key_column_dupes"),
         percent("key_repeats", ROWS).alias("key_dupe_pct"),
-        F.array(*[F.lit(c) for c in present]).cast("array<string>").alias("key_columns_checked"),
+        names(present).alias("key_columns_checked"),
     )
     return round_columns(shares, {"full_duplicate_pct": 2, "key_dupe_pct": 2}).withColumn(
         "severity",

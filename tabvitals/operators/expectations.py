@@ -6,8 +6,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabvitals.functions.numeric import column, normalise, percent, round_columns
-from tabvitals.operators.measure import ROWS, measure, row_count, to_rows
+from tabvitals.functions.numeric import column, normalise, number, percent, round_columns
+from tabvitals.functions.text import literal
+from tabvitals.operators.measure import ROWS, Aggregates, measure, row_count, to_rows
 
 # Names under which the results are reported.
 COLUMNS_MATCH_SET = "expect_table_columns_to_match_set"
@@ -98,53 +99,50 @@ def in_set(name: str, value_set: Sequence, mostly: float = 1.0, **meta) -> Expec
     )
 
 
-def expectation_aggregates(df: DataFrame, suite: Sequence[Expectation]) -> dict[str, Column]:
+def expectation_aggregates(df: DataFrame, suite: Sequence[Expectation]) -> Aggregates:
     result = {}
     for i, e in enumerate(suite):
         if e.unexpected is not None and not e.missing_from(df):
-            result[f"unexpected_{i}"] = F.count_if(e.unexpected)
-            result[f"considered_{i}"] = (
-                F.count(F.lit(1)) if e.considers_missing else F.count(column(e.column))
-            )
+            place = df.columns.index(e.column)
+            considered = F.lit(1) if e.considers_missing else column(e.column)
+            result[f"unexpected_{i}"] = (place, F.count_if(e.unexpected))
+            result[f"considered_{i}"] = (place, F.count(considered))
     return result
 
 
-def _table_outcome(e: Expectation, df: DataFrame) -> Column:
+def _table_outcome(e: Expectation, df: DataFrame) -> str:
     if e.column_set is not None:
         expected, actual = set(e.column_set), set(df.columns)
-        return F.lit(expected == actual if e.exact_match else expected <= actual)
+        return str(expected == actual if e.exact_match else expected <= actual)
     if e.column_count is not None:
-        return F.lit(len(df.columns) == e.column_count)
+        return str(len(df.columns) == e.column_count)
     low, high = e.rows_between
-    holds = F.lit(True)
-    if low is not None:
-        holds = holds & (F.col(ROWS) >= low)
-    if high is not None:
-        holds = holds & (F.col(ROWS) <= high)
-    return holds
+    bounds = [f"{ROWS} >= {low}"] * (low is not None) + [f"{ROWS} <= {high}"] * (high is not None)
+    return " AND ".join(bounds) or "True"
 
 
 def validation_rows(measured: DataFrame, df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
     entries = []
     for i, e in enumerate(suite):
-        holds, counts, reason = F.lit(None).cast("boolean"), [F.lit(None).cast("bigint")] * 2, None
+        unexpected, considered, reason = "0L", "0L", None
         if e.missing_from(df):
-            holds, reason = F.lit(False), "column not found"
+            holds, reason = "False", "column not found"
         elif e.unexpected is None:
             holds = _table_outcome(e, df)
         else:
-            counts = [F.col(f"unexpected_{i}"), F.col(f"considered_{i}")]
+            holds = "CAST(NULL AS BOOLEAN)"
+            unexpected, considered = f"unexpected_{i}", f"considered_{i}"
         entries.append(
             {
-                "expectation": F.lit(e.expectation),
-                "column": F.lit(e.column),
-                "group": F.lit(e.group),
+                "expectation": literal(e.expectation),
+                "column": literal(e.column),
+                "group": literal(e.group),
                 "holds": holds,
-                "unexpected": counts[0],
-                "considered": counts[1],
-                "mostly": F.lit(float(e.mostly)),
-                "description": F.lit(e.description),
-                "reason": F.lit(reason).cast("string"),
+                "unexpected": unexpected,
+                "considered": considered,
+                "mostly": number(float(e.mostly)),
+                "description": literal(e.description),
+                "reason": literal(reason),
             }
         )
     good_share = F.expr("(considered - unexpected) / nullif(considered, 0)")

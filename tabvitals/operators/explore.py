@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabvitals.functions.numeric import column, normalise, round_scaled
-from tabvitals.operators.measure import measure, to_rows
+from tabvitals.functions.numeric import column, normalise, number, quoted, rounded_scaled
+from tabvitals.functions.text import literal
+from tabvitals.operators.measure import measure, row_count, to_rows
 from tabvitals.operators.quantiles import exact_quantiles
 
 _QUARTILES = [0.25, 0.5, 0.75]
+_STATISTICS = {"count": "count", "mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 _NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 _TIMES = (T.TimestampType, T.TimestampNTZType)
 
@@ -24,22 +26,16 @@ def describe(df: DataFrame) -> DataFrame:
     df = normalise(df)
     names = _of_type(df, _NUMBERS)
     quartiles = exact_quantiles(df, names, _QUARTILES)
-    aggregates, entries = {"nothing": F.lit(None)}, []
+    aggregates, entries = row_count(), []
     for i, name in enumerate(names):
-        value = column(name).cast("double")
-        aggregates |= {
-            f"count_{i}": F.count(value),
-            f"mean_{i}": F.avg(value),
-            f"std_{i}": F.stddev_samp(value),
-            f"min_{i}": F.min(value),
-            f"max_{i}": F.max(value),
-        }
-        statistics = [F.col(f"{k}_{i}") for k in ("mean", "std", "min", "max")]
-        statistics += [F.lit(q).cast("double") for q in quartiles[name]]
-        keys = ("mean", "std", "min", "max", "p25", "p50", "p75")
+        value, place = f"CAST({quoted(name)} AS DOUBLE)", df.columns.index(name)
+        for key, function in _STATISTICS.items():
+            aggregates[f"{key}_{i}"] = (place, F.expr(f"{function}({value})"))
+        statistics = {k: f"{k}_{i}" for k in ("mean", "std", "min", "max")}
+        statistics |= {k: number(q) for k, q in zip(("p25", "p50", "p75"), quartiles[name])}
         entries.append(
-            {"column_name": F.lit(name), "count": F.col(f"count_{i}")}
-            | {k: round_scaled(s, 2) for k, s in zip(keys, statistics)}
+            {"column_name": literal(name), "count": f"count_{i}"}
+            | {k: rounded_scaled(s, 2) for k, s in statistics.items()}
         )
     rows = to_rows(
         measure(df, aggregates),
@@ -69,25 +65,27 @@ def describe_timestamps(df: DataFrame) -> DataFrame:
     names = _of_type(df, _TIMES)
     micros = df.select(*[_micros(n, types[n]).alias(n) for n in names])
     quartiles = exact_quantiles(micros, names, _QUARTILES)
-    aggregates, entries = {"nothing": F.lit(None)}, []
+    aggregates, entries = row_count(), []
     for i, name in enumerate(names):
-        value = column(name)
+        value = quoted(name)
         aggregates |= {
-            f"count_{i}": F.count(value),
+            f"count_{i}": (i, F.expr(f"count({value})")),
             # Summed exactly: a double cannot hold such sums to the microsecond.
-            f"sum_{i}": F.sum(value.cast("decimal(20,0)")),
-            f"min_{i}": F.min(value),
-            f"max_{i}": F.max(value),
+            f"sum_{i}": (i, F.expr(f"sum(CAST({value} AS DECIMAL(20,0)))")),
+            f"min_{i}": (i, F.expr(f"min({value})")),
+            f"max_{i}": (i, F.expr(f"max({value})")),
+        }
+        rows = f"nullif(count_{i}, 0)"
+        statistics = {
+            "mean": f"(sum_{i} - pmod(sum_{i}, {rows})) / {rows}",
+            "min": f"min_{i}",
+            "max": f"max_{i}",
         }
-        total, rows = F.col(f"sum_{i}"), F.nullif(F.col(f"count_{i}"), F.lit(0))
-        statistics = [(total - F.pmod(total, rows)) / rows, F.col(f"min_{i}"), F.col(f"max_{i}")]
-        statistics += [F.lit(None if q is None else math.floor(q)) for q in quartiles[name]]
+        for key, quartile in zip(("p25", "p50", "p75"), quartiles[name]):
+            statistics[key] = "NULL" if quartile is None else str(math.floor(quartile))
         entries.append(
-            {"column_name": F.lit(name), "count": F.col(f"count_{i}")}
-            | {
-                k: _moment(s)
-                for k, s in zip(("mean", "min", "max", "p25", "p50", "p75"), statistics)
-            }
+            {"column_name": literal(name), "count": f"count_{i}"}
+            | {k: _moment(s) for k, s in statistics.items()}
         )
     times = ", ".join(f"{k} timestamp_ntz" for k in ("mean", "min", "max", "p25", "p50", "p75"))
     rows = to_rows(measure(micros, aggregates), entries, f"column_name string, count bigint, {times}")
@@ -96,10 +94,8 @@ def describe_timestamps(df: DataFrame) -> DataFrame:
     )
 
 
-def _moment(micros: Column) -> Column:
-    return F.timestamp_add(
-        "MICROSECOND", micros.cast("bigint"), F.expr("timestamp_ntz'1970-01-01'")
-    )
+def _moment(micros: str) -> str:
+    return f"timestampadd(MICROSECOND, CAST({micros} AS BIGINT), timestamp_ntz'1970-01-01')"
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -113,11 +109,11 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     if not present:
         schema = "column_name string, value string, count bigint"
         return df.sparkSession.createDataFrame([], schema)
-    entries = []
-    for ordinal, name in enumerate(present):
-        entries += [F.lit(ordinal), F.lit(name), column(name).cast("string")]
+    entries = ", ".join(
+        f"{i}, {literal(c)}, CAST({quoted(c)} AS STRING)" for i, c in enumerate(present)
+    )
     return (
-        df.select(F.stack(F.lit(len(present)), *entries).alias("ordinal", "column_name", "value"))
+        df.selectExpr(f"stack({len(present)}, {entries}) AS (ordinal, column_name, value)")
         .groupBy("ordinal", "column_name", "value")
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy("ordinal", F.desc("count"), F.asc_nulls_last("value"))

@@ -8,10 +8,10 @@ Their size follows the number of checks, not of rows checked.
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabvitals.functions.text import number_text
+from tabvitals.functions.text import literal, number_text
 from tabvitals.operators.expectations import failed_details
 from tabvitals.operators.outliers import severe_outliers
 from tabvitals.operators.rules import failed_rules
@@ -90,32 +90,36 @@ FAILED_EXPECTATION_LINES = (
 )
 
 
-def _field(spec: str) -> Column:
+def _field(spec: str) -> str:
     kind, name = spec.split(":")
-    value = F.col(name)
     shown = {
-        "n": lambda: F.format_number(value, 0),
-        "d": lambda: value.cast("string"),
-        "f": lambda: number_text(value),
-        "s": lambda: value.cast("string"),
-        "S": lambda: F.upper(value),
-    }[kind]()
-    return F.coalesce(shown, F.lit("None"))
+        "n": f"format_number({name}, 0)",
+        "d": f"CAST({name} AS STRING)",
+        "f": number_text(name),
+        "s": f"CAST({name} AS STRING)",
+        "S": f"upper({name})",
+    }[kind]
+    return f"coalesce({shown}, 'None')"
 
 
-def _lines(frame: DataFrame, section: int, templates: tuple, item: Column | None = None) -> DataFrame:
+def _lines(frame: DataFrame, section: int, templates: tuple, item: str = "0") -> DataFrame:
     """A row per line, with its place in the text of its dataset."""
-    texts = [F.format_string(t, *[_field(s) for s in specs]) for t, *specs in templates]
-    return frame.select(
+    texts = [
+        f"format_string({', '.join([literal(template), *map(_field, specs)])})"
+        for template, *specs in templates
+    ]
+    return frame.selectExpr(
         "dataset",
-        F.lit(section).alias("section"),
-        (F.lit(0) if item is None else item).alias("item"),
-        F.posexplode(F.array(*texts)).alias("line", "text"),
+        f"{section} AS section",
+        f"{item} AS item",
+        f"posexplode(array({', '.join(texts)})) AS (line, text)",
     )
 
 
 def findings(rules: DataFrame, outliers: DataFrame, results: DataFrame) -> DataFrame:
     """A row per failed rule, seriously outlying column and failed expectation."""
+    shown = ("actual_min", "actual_max", "lower_fence", "upper_fence")
+    limits = ", ".join(number_text(c) for c in shown)
     parts = [
         failed_rules(rules).select(
             "dataset",
@@ -137,13 +141,7 @@ def findings(rules: DataFrame, outliers: DataFrame, results: DataFrame) -> DataF
             F.col("total_outliers").alias("count"),
             F.col("outlier_pct").alias("pct"),
             "severity",
-            F.format_string(
-                "actual [%s, %s], expected [%s, %s]",
-                *[
-                    number_text(F.col(c))
-                    for c in ("actual_min", "actual_max", "lower_fence", "upper_fence")
-                ],
-            ).alias("detail"),
+            F.expr(f"format_string('actual [%s, %s], expected [%s, %s]', {limits})").alias("detail"),
         ),
         failed_details(results).select(
             "dataset",
@@ -171,17 +169,16 @@ def findings_text(sections: Mapping[str, DataFrame]) -> DataFrame:
         "profiled_at", F.regexp_replace(moment, r"\.000000$", "")
     )
     head = head.join(sections["health"], "dataset")
-    ordinal = F.col("ordinal")
     lines = [
         _lines(head, 0, OVERVIEW_LINES),
         _lines(sections["null_summary"], 1, NULL_LINES),
         _lines(sections["duplicates"], 2, DUPLICATE_LINES),
         _lines(sections["outlier_summary"], 3, OUTLIER_LINES),
-        _lines(severe_outliers(sections["outliers"]), 4, SEVERE_OUTLIER_LINES, ordinal),
+        _lines(severe_outliers(sections["outliers"]), 4, SEVERE_OUTLIER_LINES, "ordinal"),
         _lines(sections["rule_summary"], 5, RULE_LINES),
-        _lines(failed_rules(sections["rules"]), 6, FAILED_RULE_LINES, ordinal),
+        _lines(failed_rules(sections["rules"]), 6, FAILED_RULE_LINES, "ordinal"),
         _lines(sections["validation_summary"], 7, VALIDATION_LINES),
-        _lines(failed_details(sections["results"]), 8, FAILED_EXPECTATION_LINES, ordinal),
+        _lines(failed_details(sections["results"]), 8, FAILED_EXPECTATION_LINES, "ordinal"),
     ]
     return (
         reduce(DataFrame.unionByName, lines)

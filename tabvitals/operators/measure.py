@@ -1,6 +1,5 @@
 """The shared scan: many named aggregates of one table, computed together into one row."""
 
-from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -8,21 +7,27 @@ from pyspark.sql import functions as F
 
 ROWS = "rows"
 
-# Above this many aggregates the table is read in slices. Slices follow column order, so on
-# columnar files each slice reads mostly columns the others do not.
-PER_SCAN = 400
+# An aggregate by name, with the position of the (first) column it reads.
+Aggregates = dict[str, tuple[int, Column]]
 
+# Above this many aggregates a table is read in slices. Wider scans still work, but their
+# generated code passes the size up to which the JVM compiles methods (8000 bytes; about 110
+# aggregates came to 6700), and then run several times slower.
+PER_SCAN = 100
 
-def row_count() -> dict[str, Column]:
-    return {ROWS: F.count(F.lit(1))}
 
+def row_count() -> Aggregates:
+    return {ROWS: (0, F.count(F.lit(1)))}
 
-def measure(df: DataFrame, aggregates: Mapping[str, Column], per_scan: int = PER_SCAN) -> DataFrame:
-    """One row with a column per named aggregate."""
-    names = list(aggregates)
+
+def measure(df: DataFrame, aggregates: Aggregates, per_scan: int = PER_SCAN) -> DataFrame:
+    """One row with a column per named aggregate.
+
+    Slices follow column order, so each reads mostly columns the others do not.
+    """
+    names = sorted(aggregates, key=lambda name: aggregates[name][0])
     slices = [names[i : i + per_scan] for i in range(0, len(names), per_scan)]
-    parts = [df.agg(*[aggregates[n].alias(n) for n in part]) for part in slices]
-    return merge_rows(parts)
+    return merge_rows([df.agg(*[aggregates[n][1].alias(n) for n in part]) for part in slices])
 
 
 def merge_rows(parts: list[DataFrame]) -> DataFrame:
@@ -33,15 +38,18 @@ def merge_rows(parts: list[DataFrame]) -> DataFrame:
     return stacked.agg(*[F.max(n).alias(n) for n in stacked.columns])
 
 
-def to_rows(measured: DataFrame, entries: list[dict[str, Column]], schema: str) -> DataFrame:
-    """Turn the measured row into one row per entry, numbered in `ordinal` from 0."""
+def to_rows(measured: DataFrame, entries: list[dict[str, str]], schema: str) -> DataFrame:
+    """Turn the measured row into one row per entry, numbered in `ordinal` from 0.
+
+    An entry gives the SQL expression of each field.
+    """
     if not entries:
         return measured.sparkSession.createDataFrame([], f"ordinal int, {schema}")
     structs = [
-        F.struct(F.lit(i).alias("ordinal"), *[c.alias(n) for n, c in entry.items()])
+        f"named_struct('ordinal', {i}, " + ", ".join(f"'{n}', {e}" for n, e in entry.items()) + ")"
         for i, entry in enumerate(entries)
     ]
-    return measured.select(F.inline(F.array(*structs)))
+    return measured.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def checkpoint_folder(spark: SparkSession) -> str:

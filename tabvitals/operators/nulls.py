@@ -1,24 +1,25 @@
 """Null profile: missing values per column."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabvitals.functions.grading import NULL_LEVELS, is_serious, level
-from tabvitals.functions.numeric import column, normalise, percent, round_columns
-from tabvitals.operators.measure import ROWS, measure, row_count, to_rows
+from tabvitals.functions.numeric import normalise, percent, quoted, round_columns
+from tabvitals.functions.text import literal
+from tabvitals.operators.measure import ROWS, Aggregates, measure, row_count, to_rows
 
 
-def null_aggregates(df: DataFrame) -> dict[str, Column]:
+def null_aggregates(df: DataFrame) -> Aggregates:
     # count(c) skips NULL, so the missing values are what it leaves out of all rows.
-    return {f"present_{i}": F.count(column(c)) for i, c in enumerate(df.columns)}
+    return {f"present_{i}": (i, F.expr(f"count({quoted(c)})")) for i, c in enumerate(df.columns)}
 
 
 def null_rows(measured: DataFrame, df: DataFrame) -> DataFrame:
     entries = [
         {
-            "column_name": F.lit(c),
-            "null_count": F.col(ROWS) - F.col(f"present_{i}"),
-            "row_count": F.col(ROWS),
+            "column_name": literal(c),
+            "null_count": f"{ROWS} - present_{i}",
+            "row_count": ROWS,
         }
         for i, c in enumerate(df.columns)
     ]

@@ -1,11 +1,12 @@
 """Outliers by the interquartile-range method."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabvitals.functions.grading import OUTLIER_LEVELS, is_serious, level
-from tabvitals.functions.numeric import column, normalise, percent, round_columns
-from tabvitals.operators.measure import measure, to_rows
+from tabvitals.functions.numeric import normalise, number, percent, quoted, round_columns
+from tabvitals.functions.text import literal
+from tabvitals.operators.measure import Aggregates, measure, row_count, to_rows
 from tabvitals.operators.overview import numeric_columns
 from tabvitals.operators.quantiles import exact_quantiles
 
@@ -37,32 +38,31 @@ def fences(df: DataFrame, columns: list[str]) -> dict[str, dict[str, float | Non
     return result
 
 
-def outlier_aggregates(limits: dict[str, dict]) -> dict[str, Column]:
+def outlier_aggregates(df: DataFrame, limits: dict[str, dict]) -> Aggregates:
     result = {}
     for i, (name, limit) in enumerate(limits.items()):
-        value = column(name).cast("double")
-        low = F.lit(limit["lower_fence"]).cast("double")
-        high = F.lit(limit["upper_fence"]).cast("double")
-        result |= {
-            f"low_{i}": F.count_if(value < low),
-            f"high_{i}": F.count_if(value > high),
-            f"valid_{i}": F.count(column(name)),
-            f"min_{i}": F.min(value),
-            f"max_{i}": F.max(value),
+        value, place = f"CAST({quoted(name)} AS DOUBLE)", df.columns.index(name)
+        aggregates = {
+            "low": f"count_if({value} < {number(limit['lower_fence'])})",
+            "high": f"count_if({value} > {number(limit['upper_fence'])})",
+            "valid": f"count({quoted(name)})",
+            "min": f"min({value})",
+            "max": f"max({value})",
         }
+        result |= {f"{key}_{i}": (place, F.expr(a)) for key, a in aggregates.items()}
     return result
 
 
 def outlier_rows(measured: DataFrame, limits: dict[str, dict]) -> DataFrame:
     entries = [
-        {"column_name": F.lit(name)}
-        | {key: F.lit(limit[key]).cast("double") for key in limit}
+        {"column_name": literal(name)}
+        | {key: number(value) for key, value in limit.items()}
         | {
-            "outliers_low": F.col(f"low_{i}"),
-            "outliers_high": F.col(f"high_{i}"),
-            "valid": F.col(f"valid_{i}"),
-            "actual_min": F.col(f"min_{i}"),
-            "actual_max": F.col(f"max_{i}"),
+            "outliers_low": f"low_{i}",
+            "outliers_high": f"high_{i}",
+            "valid": f"valid_{i}",
+            "actual_min": f"min_{i}",
+            "actual_max": f"max_{i}",
         }
         for i, (name, limit) in enumerate(limits.items())
     ]
@@ -93,7 +93,7 @@ def outlier_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
     """
     df = normalise(df)
     limits = fences(df, numeric_columns(df) if columns is None else columns)
-    return outlier_rows(measure(df, outlier_aggregates(limits) or {"none": F.count(F.lit(1))}), limits)
+    return outlier_rows(measure(df, row_count() | outlier_aggregates(df, limits)), limits)
 
 
 def outlier_summary(profile: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabvitals.functions.numeric import column, normalise, round_columns
-from tabvitals.operators.measure import ROWS, measure, row_count, to_rows
+from tabvitals.functions.numeric import column, normalise, quoted, round_columns
+from tabvitals.functions.text import literal
+from tabvitals.operators.measure import ROWS, Aggregates, measure, row_count, to_rows
 
 _WIDTHS = {
     T.BooleanType: 1,
@@ -64,26 +65,32 @@ def column_bytes(name: str, data_type: T.DataType) -> Column:
     """Aggregate: logical bytes of a column. Fixed-width types need no look at the values."""
     width = _fixed_width(data_type)
     if width is not None:
-        return F.count(column(name)) * width
+        return F.expr(f"count({quoted(name)}) * {width}")
     return F.coalesce(F.sum(value_bytes(column(name), data_type)), F.lit(0).cast("bigint"))
 
 
-def size_aggregates(df: DataFrame) -> dict[str, Column]:
-    return {f"bytes_{i}": column_bytes(f.name, f.dataType) for i, f in enumerate(df.schema.fields)}
+def size_aggregates(df: DataFrame) -> Aggregates:
+    return {
+        f"bytes_{i}": (i, column_bytes(f.name, f.dataType))
+        for i, f in enumerate(df.schema.fields)
+    }
+
+
+def names(columns: list[str]) -> Column:
+    """An array of column names."""
+    return F.expr(f"CAST(array({', '.join(literal(c) for c in columns)}) AS ARRAY<STRING>)")
 
 
 def overview_rows(
     measured: DataFrame, df: DataFrame, dataset_name: str, profiled_at: Column | None = None
 ) -> DataFrame:
-    total_bytes = sum(
-        (F.col(f"bytes_{i}") for i in range(len(df.columns))), F.lit(0).cast("bigint")
-    )
+    total_bytes = F.expr(" + ".join(["0L", *[f"bytes_{i}" for i in range(len(df.columns))]]))
     row = measured.select(
         F.lit(dataset_name).alias("dataset_name"),
         (F.current_timestamp() if profiled_at is None else profiled_at).alias("profiled_at"),
         F.col(ROWS).alias("row_count"),
         F.lit(len(df.columns)).alias("column_count"),
-        F.array(*[F.lit(c) for c in df.columns]).cast("array<string>").alias("columns"),
+        names(df.columns).alias("columns"),
         (total_bytes / 1024 / 1024).alias("size_mb"),
     )
     return round_columns(row, {"size_mb": 2})
@@ -99,9 +106,9 @@ def overview(df: DataFrame, dataset_name: str = "dataset", profiled_at: Column |
 def column_type_rows(measured: DataFrame, df: DataFrame) -> DataFrame:
     entries = [
         {
-            "column_name": F.lit(name),
-            "data_type": F.lit(data_type),
-            "logical_bytes": F.col(f"bytes_{i}"),
+            "column_name": literal(name),
+            "data_type": literal(data_type),
+            "logical_bytes": f"bytes_{i}",
         }
         for i, (name, data_type) in enumerate(df.dtypes)
     ]

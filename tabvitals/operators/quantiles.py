@@ -2,31 +2,35 @@
 
 Sorting, or Spark's `percentile`, ends with all distinct values of a column in one task. Here
 the wanted ranks are narrowed down by counting. The first scan counts values by sign and
-magnitude; each further scan cuts only the buckets that hold a wanted rank into finer ones,
-using the smallest and largest value seen in them as the new range. A rank is found once its
-bucket holds one distinct value. Every scan shuffles counts only, bounded by the number of
-buckets, and reads only the columns still open.
+magnitude. Each further scan cuts the buckets that hold a wanted rank into finer ones, from
+the smallest to the largest value seen in them, until few rows are left in them to be told
+apart by value. A rank is found once its bucket holds one distinct value.
+
+Every scan reads only the columns still open and shuffles only counts, at most one per bucket
+and task. Buckets of one column are put in order in one task; there are at most some 70,000 by
+magnitude, `_BINS` per range, or `_FEW_ROWS` values.
 """
 
 import math
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabvitals.functions.numeric import column
+from tabvitals.functions.numeric import number, quoted
 
-# Magnitude buckets per power of two. Doubles span powers -1074 to 1023; zero is bucket 0.
-_PER_OCTAVE = 32
-_OFFSET = 40_000
-_INFINITE = 70_000.0
-# Buckets per range, and the finer grid used once so few rows are left that it costs little.
+# 32 buckets per power of two, or 32 / ln 2 per factor e. The offset keeps the buckets of
+# positive numbers, whose powers start at -1074, above 0 and thus above those of negative ones.
+_MAGNITUDE = (
+    "CASE WHEN value = 0 THEN 0D "
+    "ELSE signum(value) * (40000 + floor(ln(abs(value)) * 46.16624130844683D)) END"
+)
 _BINS = 4_096
-_FINE_BINS = 65_536
-_FEW_ROWS = 10_000_000
-_COLUMNS_PER_PASS = 64
+_SHARE = f"least(floor((value - low) / (high - low) * {_BINS}), {_BINS - 1}D)"
+_FEW_ROWS = 1_000_000
+
+# Keeps the generated code of a scan small enough to be compiled to machine code.
+_COLUMNS_PER_PASS = 16
 
 
 @dataclass(frozen=True)
@@ -53,7 +57,8 @@ def exact_quantiles(
     result = {}
     for i in range(0, len(columns), _COLUMNS_PER_PASS):
         part = columns[i : i + _COLUMNS_PER_PASS]
-        result |= _quantiles_together(df.select(*[column(c) for c in part]), part, probabilities)
+        values = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS {quoted(c)}" for c in part])
+        result |= _quantiles_together(values, part, probabilities)
     return result
 
 
@@ -95,80 +100,61 @@ def _interpolate(found, name, rows, probability):
     return high - (high - low) * (1 - part) if part >= 0.5 else low + (high - low) * part
 
 
-def _counted(values: DataFrame) -> DataFrame:
-    return (
-        values.where(F.col("value").isNotNull())
+def _counted(values: DataFrame, bucket: str) -> DataFrame:
+    """Per slot and bucket: rows, range of values, rows below in the slot, rows in the slot."""
+    counts = (
+        values.where("value IS NOT NULL")
+        .withColumn("bucket", F.expr(bucket))
         .groupBy("slot", "bucket")
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.min("value").alias("low"),
             F.max("value").alias("high"),
         )
-        .withColumn(
-            "below",
-            F.sum("rows").over(Window.partitionBy("slot").orderBy("bucket")) - F.col("rows"),
-        )
+    )
+    return counts.selectExpr(
+        "*",
+        "sum(rows) OVER (PARTITION BY slot ORDER BY bucket) - rows AS below",
+        "sum(rows) OVER (PARTITION BY slot) AS total",
     )
 
 
+def _holding(ranks: list[str]) -> str:
+    return " OR ".join(f"(below <= {r} AND {r} < below + rows)" for r in ranks)
+
+
 def _magnitude_buckets(df, columns, probabilities):
     """Row counts per column, and the magnitude buckets that hold a wanted rank."""
-    entries = []
-    for slot, name in enumerate(columns):
-        entries += [F.lit(slot), column(name).cast("double")]
-    value = F.col("value")
-    size = F.floor(F.least(F.log2(F.abs(value)) * _PER_OCTAVE, F.lit(_INFINITE))) + _OFFSET
-    bucket = F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size)
-    values = df.select(F.stack(F.lit(len(columns)), *entries).alias("slot", "value"))
-    counted = _counted(values.withColumn("bucket", bucket)).withColumn(
-        "total", F.sum("rows").over(Window.partitionBy("slot"))
-    )
-    wanted = [
-        (F.col("below") <= rank) & (rank < F.col("below") + F.col("rows"))
-        for p in probabilities
-        for position in [(F.col("total") - 1) * F.lit(float(p))]
-        for rank in (F.floor(position), F.ceil(position))
-    ]
-    rows = counted.where(reduce(or_, wanted)).collect()
+    entries = ", ".join(f"{slot}, {quoted(c)}" for slot, c in enumerate(columns))
+    values = df.selectExpr(f"stack({len(columns)}, {entries}) AS (slot, value)")
+    ranks = [f"{f}((total - 1) * {float(p)}D)" for p in probabilities for f in ("floor", "ceil")]
+    rows = _counted(values, _MAGNITUDE).where(_holding(ranks)).collect()
     counts = {columns[r.slot]: r.total for r in rows}
     return counts, [_Bucket(columns[r.slot], r.low, r.high, r.below, r.rows) for r in rows]
 
 
 def _finer_buckets(df, unresolved, ranks):
     """The finer buckets inside `unresolved` that hold a wanted rank."""
-    bins = _BINS if sum(b.rows for b in unresolved) > _FEW_ROWS else _FINE_BINS
-    names = sorted({b.name for b in unresolved})
-    values = df.select(*[column(n).cast("double").alias(n) for n in names])
-    within = [column(b.name).between(b.low, b.high) for b in unresolved]
-    entries, steps = [], []
-    for slot, b in enumerate(unresolved):
-        entries += [F.lit(slot), F.when(within[slot], column(b.name))]
-        share = (F.col("value") - b.low) / F.lit(b.high - b.low)
-        steps.append((slot, F.least(F.floor(share * bins), F.lit(bins - 1))))
-    counted = _counted(
-        values.where(reduce(or_, within))
-        .select(F.stack(F.lit(len(unresolved)), *entries).alias("slot", "value"))
-        .withColumn("bucket", _choose(steps))
+    few = sum(b.rows for b in unresolved) <= _FEW_ROWS
+    within = [
+        f"{quoted(b.name)} BETWEEN {number(b.low)} AND {number(b.high)}" for b in unresolved
+    ]
+    entries = ", ".join(
+        f"{slot}, IF({within[slot]}, {quoted(b.name)}, NULL), {number(b.low)}, {number(b.high)}"
+        for slot, b in enumerate(unresolved)
     )
-    wanted = []
-    for slot, b in enumerate(unresolved):
-        start = F.col("below") + b.before
-        hits = [
-            (start <= r) & (F.lit(r) < start + F.col("rows")) for r in ranks[b.name] if b.holds(r)
-        ]
-        wanted.append((F.col("slot") == slot) & reduce(or_, hits))
-    rows = counted.where(reduce(or_, wanted)).collect()
+    values = df.where(" OR ".join(within)).selectExpr(
+        f"stack({len(unresolved)}, {entries}) AS (slot, value, low, high)"
+    )
+    wanted = [
+        f"(slot = {slot} AND ({_holding([str(r - b.before) for r in ranks[b.name] if b.holds(r)])}))"
+        for slot, b in enumerate(unresolved)
+    ]
+    counted = _counted(values, "value" if few else _SHARE)
+    rows = counted.where(" OR ".join(wanted)).collect()
     return [
         _Bucket(
             unresolved[r.slot].name, r.low, r.high, unresolved[r.slot].before + r.below, r.rows
         )
         for r in rows
     ]
-
-
-def _choose(steps: list[tuple[int, Column]]) -> Column:
-    chosen = None
-    for slot, bucket in steps:
-        is_slot = F.col("slot") == slot
-        chosen = F.when(is_slot, bucket) if chosen is None else chosen.when(is_slot, bucket)
-    return chosen

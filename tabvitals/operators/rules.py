@@ -6,8 +6,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabvitals.functions.numeric import column, normalise, percent, round_columns, round_scaled
-from tabvitals.operators.measure import ROWS, measure, row_count, to_rows
+from tabvitals.functions.numeric import (
+    column,
+    normalise,
+    number,
+    percent,
+    quoted,
+    round_columns,
+    rounded_scaled,
+)
+from tabvitals.functions.text import literal
+from tabvitals.operators.measure import ROWS, Aggregates, measure, row_count, to_rows
 
 
 @dataclass(frozen=True)
@@ -66,12 +75,12 @@ def sum_matches(total: str, parts: Sequence[str], tolerance: float, /, **rule) -
     Missing parts count as 0, a missing total is fine, and both sides are rounded to 2
     decimals first. The amounts stay doubles: decimals would decide some ties differently.
     """
-    amounts = [F.coalesce(column(p).cast("double"), F.lit(0.0)) for p in parts]
-    difference = round_scaled(sum(amounts[1:], amounts[0]), 2) - round_scaled(
-        column(total).cast("double"), 2
-    )
+    summed = " + ".join(f"coalesce(CAST({quoted(p)} AS DOUBLE), 0D)" for p in parts)
+    stated = f"CAST({quoted(total)} AS DOUBLE)"
+    difference = f"{rounded_scaled(f'({summed})', 2)} - {rounded_scaled(stated, 2)}"
+    violation = F.expr(f"abs({difference}) > {number(float(tolerance))}")
     rule = {"requires": (*parts, total)} | rule
-    return _on(total, F.abs(difference) > float(tolerance), f"{total} = sum of parts", **rule)
+    return _on(total, violation, f"{total} = sum of parts", **rule)
 
 
 def _on(names: str | tuple[str, ...], violation: Column, text: str, **given) -> Rule:
@@ -85,19 +94,20 @@ def applicable(df: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
     return [r for r in rules if present.issuperset(r.requires)]
 
 
-def rule_aggregates(rules: Sequence[Rule]) -> dict[str, Column]:
-    return {f"rule_{i}": F.count_if(r.violation) for i, r in enumerate(rules)}
+def rule_aggregates(df: DataFrame, rules: Sequence[Rule]) -> Aggregates:
+    first = [df.columns.index(r.requires[0]) if r.requires else 0 for r in rules]
+    return {f"rule_{i}": (first[i], F.count_if(r.violation)) for i, r in enumerate(rules)}
 
 
 def rule_rows(measured: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     entries = [
         {
-            "rule_name": F.lit(r.name),
-            "column": F.lit(r.column),
-            "rule": F.lit(r.rule),
-            "violations": F.col(f"rule_{i}"),
-            "row_count": F.col(ROWS),
-            "on_fail": F.lit(r.on_fail),
+            "rule_name": literal(r.name),
+            "column": literal(r.column),
+            "rule": literal(r.rule),
+            "violations": f"rule_{i}",
+            "row_count": ROWS,
+            "on_fail": literal(r.on_fail),
         }
         for i, r in enumerate(rules)
     ]
@@ -126,7 +136,7 @@ def rule_profile(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """A row per applicable rule: violations, their share of all rows, severity."""
     df = normalise(df)
     rules = applicable(df, rules)
-    return rule_rows(measure(df, row_count() | rule_aggregates(rules)), rules)
+    return rule_rows(measure(df, row_count() | rule_aggregates(df, rules)), rules)
 
 
 def rule_summary(profile: DataFrame) -> DataFrame:

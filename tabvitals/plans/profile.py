@@ -79,8 +79,8 @@ def check_table(
         row_count()
         | null_aggregates(df)
         | size_aggregates(df)
-        | outlier_aggregates(limits)
-        | rule_aggregates(rules)
+        | outlier_aggregates(df, limits)
+        | rule_aggregates(df, rules)
         | expectation_aggregates(df, suite)
     )
     keys = list(key_columns)
