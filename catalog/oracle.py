@@ -790,6 +790,7 @@ ORACLE = {
     "taxi_health": f"SELECT 'trips' AS dataset, * FROM ({TRIP_HEALTH})",
     "findings": FINDINGS,
     "findings_text": FINDINGS_TEXT,
+    "latest_findings_text": FINDINGS_TEXT,
     "saved_profile": f"SELECT 'trips' AS dataset, * FROM ({TRIP_RULES})",
     "saved_validation": (
         "SELECT 'lineitem' AS dataset, "

@@ -333,22 +333,20 @@ def _report_folder(spark: SparkSession) -> str:
 def saved_profile(spark, folder):
     """The rule section of a profile report, saved and loaded again."""
     path = _report_folder(spark)
-    run = taxi_monitor(spark, folder, path)
-    schema = tv.profile_report(run.profile).schema
-    report = tv.load_latest_report(spark, path, reports.PROFILE, "trips", schema)
+    trips = inputs.TRIPS.frame(spark, folder)
+    tv.run_profile(
+        trips, "trips", path, numeric=[], rules=taxi.rules(), key_columns=["VendorID"]
+    )
+    report = tv.load_latest_report(spark, path, reports.PROFILE, "trips")
     return report.select("dataset", F.inline("business_rules.by_rule"))
 
 
 def saved_validation(spark, folder):
     """The failures in a validation report, saved and loaded again."""
     path = _report_folder(spark)
-    lineitem = _lineitem(spark, folder)
-    report = tv.validation_report(
-        tv.validate_table(lineitem, "lineitem", lineitem_suite(), run_time())
-    )
-    tv.save_report(report, path, reports.VALIDATION)
-    loaded = tv.load_latest_report(spark, path, reports.VALIDATION, "lineitem", report.schema)
-    return loaded.select("dataset", "success_pct", F.inline("failed_details"))
+    tv.run_validation(_lineitem(spark, folder), "lineitem", lineitem_suite(), path)
+    report = tv.load_latest_report(spark, path, reports.VALIDATION, "lineitem")
+    return report.select("dataset", "success_pct", F.inline("failed_details"))
 
 
 def saved_explanations(spark, folder):
@@ -357,11 +355,18 @@ def saved_explanations(spark, folder):
     answers = inputs.ANSWERS.frame(spark, folder).select(
         F.col("event_id").cast("string").alias("dataset"), run_time().alias("run_ts"), "response"
     )
-    schema = tv.save_explanations(answers, path).schema
-    loaded = tv.read_reports(spark, path, reports.EXPLANATIONS, schema)
+    tv.save_explanations(answers, path)
+    loaded = tv.read_reports(spark, path, reports.EXPLANATIONS)
     return tv.issue_counts(loaded, ["dataset", "overall_assessment", "parse_error"])
 
 
+def latest_findings_text(spark, folder):
+    """The same text as of the run itself, from its saved reports."""
+    path = _report_folder(spark)
+    taxi_monitor(spark, folder, path)
+    return tv.latest_findings_text(spark, path)
+
+
 def latest_report(spark, folder):
     return tv.latest(inputs.HISTORY.frame(spark, folder))
 
@@ -434,6 +439,7 @@ QUERIES = {
         saved_profile,
         saved_validation,
         saved_explanations,
+        latest_findings_text,
         latest_report,
         parse_explanations,
         parse_chats,

@@ -21,7 +21,14 @@ from tabvitals.operators.outliers import outlier_profile, outlier_summary, sever
 from tabvitals.operators.overview import column_types, first_rows, numeric_columns, overview
 from tabvitals.operators.rules import Rule, failed_rules, rule_profile, rule_summary, violation_counts
 from tabvitals.operators.score import health_score
-from tabvitals.plans.monitor import run_monitor, save_explanations
+from tabvitals.plans.monitor import (
+    latest_findings_text,
+    report_sections,
+    run_monitor,
+    run_profile,
+    run_validation,
+    save_explanations,
+)
 from tabvitals.plans.profile import (
     check_table,
     profile_report,
@@ -29,7 +36,13 @@ from tabvitals.plans.profile import (
     validate_table,
     validation_report,
 )
-from tabvitals.sources.reports import latest, load_latest_report, read_reports, save_report
+from tabvitals.sources.reports import (
+    latest,
+    load_latest_report,
+    load_latest_reports,
+    read_reports,
+    save_report,
+)
 from tabvitals.sources.tables import read_table
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -9,8 +9,8 @@ from tabvitals.functions.numeric import column, normalise, percent, round_column
 from tabvitals.operators.measure import ROWS, materialise, merge_rows
 from tabvitals.operators.overview import names
 
-# Repeated fingerprints up to this number (8 bytes each) are broadcast.
-BROADCAST_LIMIT = 500_000
+# Repeated fingerprints up to this number (80 MB) are broadcast.
+BROADCAST_LIMIT = 10_000_000
 
 
 def count_repeats(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tabvitals.functions.numeric import column, normalise, number, percent, round_columns
 from tabvitals.functions.text import literal
 from tabvitals.operators.measure import ROWS, Aggregates, measure, row_count, to_rows
+from tabvitals.operators.overview import run_time
 
 # Names under which the results are reported.
 COLUMNS_MATCH_SET = "expect_table_columns_to_match_set"
@@ -179,7 +180,7 @@ def validation_summary(results: DataFrame, validated_at: Column | None = None) -
         F.count_if(F.col("passed")).alias("passed"),
         F.count_if(~F.col("passed")).alias("failed"),
     ).select(
-        (F.current_timestamp() if validated_at is None else validated_at).alias("validated_at"),
+        run_time(validated_at).alias("validated_at"),
         "total",
         "passed",
         "failed",

@@ -1,6 +1,6 @@
 """Stored answers of a language model that explain findings: from raw text to issue rows."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabvitals.functions.text import strip
@@ -22,42 +22,44 @@ FENCE_LANGUAGE = "json"
 PARSE_ERROR = "response is not one JSON object"
 
 _ISSUE = ", ".join(f"`{name}`: string" for name in ISSUE_DEFAULTS)
-_ANSWER = f"array<struct<explanations: array<struct<{_ISSUE}>>, overall_assessment: string>>"
-
-
-def unfenced(response: Column) -> Column:
-    """The text of a response without white space around it and without a code fence."""
-    text = strip(response)
-    fenced = F.get(F.split(text, FENCE), F.lit(1))
-    inner = strip(F.regexp_replace(fenced, f"^{FENCE_LANGUAGE}", ""))
-    return F.when(F.startswith(text, F.lit(FENCE)), inner).otherwise(text)
+_ANSWERS = f"array<struct<explanations: array<struct<{_ISSUE}>>, overall_assessment: string>>"
+_OBJECT = "answer struct<overall_assessment: string>"
 
 
 def parse_explanations(df: DataFrame, response: str = "response") -> DataFrame:
     """Add `explanations`, `overall_assessment`, `raw_response` and `parse_error`.
 
-    Only a response that is exactly one JSON object is parsed; for any other the last two
-    columns hold its text and the reason.
+    Only a response that is exactly one JSON object, fenced or not, is parsed; for any other
+    the last two columns hold its text and the reason.
     """
     text = F.col("raw_response")
-    # Within brackets, text after the object is an error instead of being ignored. The second
-    # look keeps out text that closes the brackets itself.
-    answer = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _ANSWER, {"allowSingleQuotes": "false"})
-    is_object = F.try_parse_json(text).isNotNull() & F.startswith(text, F.lit("{"))
+    inner = F.regexp_replace(F.get(F.split(text, FENCE), F.lit(1)), f"^{FENCE_LANGUAGE}", "")
+    # JSON readers ignore what follows a complete value. Between brackets, it must be a comma
+    # and another item, or close the bracket; between braces, it cannot close the bracket.
+    strict = {"allowSingleQuotes": "false"}
+    in_list = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _ANSWERS, strict)
+    in_object = F.from_json(F.concat(F.lit('{"answer":'), text, F.lit("}")), _OBJECT, strict)
+    is_one = "startswith(raw_response, '{') AND size(answers) = 1 AND object.answer IS NOT NULL"
     return (
-        df.withColumn("raw_response", unfenced(F.col(response)))
-        .withColumn("answer", F.when(is_object & (F.size(answer) == 1), F.get(answer, F.lit(0))))
+        df.withColumn("raw_response", strip(F.col(response)))
+        .withColumn("raw_response", F.when(text.startswith(FENCE), strip(inner)).otherwise(text))
+        .withColumn("answers", in_list)
+        .withColumn("object", in_object)
+        .withColumn("answer", F.expr(f"IF({is_one}, answers[0], NULL)"))
         .withColumn("explanations", F.col("answer.explanations"))
         .withColumn("overall_assessment", F.col("answer.overall_assessment"))
         .withColumn("parse_error", F.when(F.col("answer").isNull(), PARSE_ERROR))
-        .withColumn("raw_response", F.when(F.col("answer").isNull(), F.col("raw_response")))
-        .drop("answer")
+        .withColumn("raw_response", F.when(F.col("answer").isNull(), text))
+        .drop("answers", "object", "answer")
     )
 
 
 def issues(parsed: DataFrame, keep: list[str]) -> DataFrame:
     """A row per explained issue, with the `keep` columns of its answer and its position."""
-    exploded = parsed.select(*keep, F.posexplode("explanations").alias("position", "found"))
+    # Not the plain explode: Spark would filter out empty lists first, parsing twice for it.
+    exploded = parsed.select(
+        *keep, F.posexplode_outer("explanations").alias("position", "found")
+    ).where("position IS NOT NULL")
     fields = {
         name: F.coalesce(F.col(f"found.{name}"), F.lit(default))
         for name, default in ISSUE_DEFAULTS.items()

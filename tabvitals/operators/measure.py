@@ -13,7 +13,7 @@ Aggregates = dict[str, tuple[int, Column]]
 # Above this many aggregates a table is read in slices. Wider scans still work, but their
 # generated code passes the size up to which the JVM compiles methods (8000 bytes; about 110
 # aggregates came to 6700), and then run several times slower.
-PER_SCAN = 100
+PER_SCAN = 60
 
 
 def row_count() -> Aggregates:

@@ -76,6 +76,11 @@ def size_aggregates(df: DataFrame) -> Aggregates:
     }
 
 
+def run_time(given: Column | None) -> Column:
+    """The given time of a run, or now."""
+    return F.current_timestamp() if given is None else given.cast("timestamp")
+
+
 def names(columns: list[str]) -> Column:
     """An array of column names."""
     return F.expr(f"CAST(array({', '.join(literal(c) for c in columns)}) AS ARRAY<STRING>)")
@@ -87,7 +92,7 @@ def overview_rows(
     total_bytes = F.expr(" + ".join(["0L", *[f"bytes_{i}" for i in range(len(df.columns))]]))
     row = measured.select(
         F.lit(dataset_name).alias("dataset_name"),
-        (F.current_timestamp() if profiled_at is None else profiled_at).alias("profiled_at"),
+        run_time(profiled_at).alias("profiled_at"),
         F.col(ROWS).alias("row_count"),
         F.lit(len(df.columns)).alias("column_count"),
         names(df.columns).alias("columns"),

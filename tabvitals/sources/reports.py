@@ -3,15 +3,62 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 PROFILE = "profile"
 VALIDATION = "validation"
 EXPLANATIONS = "explanations"
 
+_RESULT = (
+    "struct<ordinal: int, expectation: string, column: string, group: string, passed: boolean, "
+    "violation_count: bigint, violation_pct: double, description: string, reason: string>"
+)
+_ISSUE = (
+    "struct<issue: string, column: string, severity: string, violation_count: string, "
+    "what_happened: string, likely_cause: string, business_impact: string, "
+    "recommended_action: string>"
+)
+
+# The content of a report by kind.
+SCHEMAS = {
+    PROFILE: (
+        "dataset string, run_ts timestamp, "
+        "overview struct<dataset_name: string, profiled_at: timestamp, row_count: bigint, "
+        "column_count: int, columns: array<string>, size_mb: double>, "
+        "column_types array<struct<ordinal: int, column_name: string, data_type: string, "
+        "logical_bytes: bigint>>, "
+        "nulls struct<summary: struct<columns_with_nulls: bigint, columns_critical: bigint, "
+        "total_null_cells: bigint>, by_column: array<struct<ordinal: int, column_name: string, "
+        "null_count: bigint, null_pct: double, severity: string>>>, "
+        "duplicates struct<full_duplicates: bigint, full_duplicate_pct: double, "
+        "key_column_dupes: bigint, key_dupe_pct: double, key_columns_checked: array<string>, "
+        "severity: string>, "
+        "outliers struct<summary: struct<columns_checked: bigint, columns_with_outliers: bigint, "
+        "columns_severe: bigint, total_outlier_cells: bigint>, by_column: array<struct<"
+        "ordinal: int, column_name: string, q1: double, q3: double, iqr: double, "
+        "lower_fence: double, upper_fence: double, outliers_low: bigint, outliers_high: bigint, "
+        "total_outliers: bigint, outlier_pct: double, actual_min: double, actual_max: double, "
+        "severity: string>>>, "
+        "business_rules struct<summary: struct<rules_checked: bigint, rules_passed: bigint, "
+        "rules_failed: bigint, total_violations: bigint>, by_rule: array<struct<ordinal: int, "
+        "rule_name: string, column: string, rule: string, violations: bigint, "
+        "violation_pct: double, severity: string>>>, "
+        "health_score struct<score: double, rule_score: double, null_score: double, "
+        "grade: string>"
+    ),
+    VALIDATION: (
+        "dataset string, run_ts timestamp, validated_at timestamp, total bigint, passed bigint, "
+        f"failed bigint, success_pct double, results array<{_RESULT}>, "
+        f"failed_details array<{_RESULT}>"
+    ),
+    EXPLANATIONS: (
+        "dataset string, run_ts timestamp, raw_response string, "
+        f"explanations array<{_ISSUE}>, overall_assessment string, parse_error string"
+    ),
+}
+
 
 def save_report(report: DataFrame, path: str, kind: str) -> None:
-    """Append report rows, which have `dataset` and `run_ts` and any nested content."""
+    """Append report rows of a kind."""
     (
         report.withColumn("kind", F.lit(kind))
         .write.mode("append")
@@ -21,20 +68,24 @@ def save_report(report: DataFrame, path: str, kind: str) -> None:
     )
 
 
-def read_reports(spark: SparkSession, path: str, kind: str, schema: T.StructType) -> DataFrame:
-    """All reports of a kind; `schema` is that of the frames saved. Fails without a table."""
-    with_kind = T.StructType([f for f in schema.fields if f.name != "kind"]).add("kind", "string")
+def read_reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """All reports of a kind; fails if there are none."""
     try:
         # The kind is a partition, so only its files are read.
-        reports = spark.read.schema(with_kind).json(path).where(F.col("kind") == kind)
+        schema = f"{SCHEMAS[kind]}, kind string"
+        reports = spark.read.schema(schema).json(path).where(F.col("kind") == kind)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise FileNotFoundError(f"no {kind} report in {path}") from error
+    if reports.isEmpty():
+        raise FileNotFoundError(f"no {kind} report in {path}")
     return reports
 
 
-def latest(reports: DataFrame, by: tuple[str, ...] = ("dataset", "kind"), at: str = "run_ts") -> DataFrame:
+def latest(
+    reports: DataFrame, by: tuple[str, ...] = ("dataset", "kind"), at: str = "run_ts"
+) -> DataFrame:
     """The newest row of every group; the greatest row wins among equally new ones.
 
     `max_by` keeps one row per group and task before the shuffle, so a dataset with most of
@@ -45,11 +96,14 @@ def latest(reports: DataFrame, by: tuple[str, ...] = ("dataset", "kind"), at: st
     return reports.groupBy(*by).agg(newest.alias("newest")).select(*by, "newest.*")
 
 
-def load_latest_report(
-    spark: SparkSession, path: str, kind: str, dataset: str, schema: T.StructType
-) -> DataFrame:
-    """The newest report of a kind about a dataset, one row; fails if there is none."""
-    reports = read_reports(spark, path, kind, schema).where(F.col("dataset") == dataset)
+def load_latest_reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The newest report of a kind about every dataset; fails if there are none."""
+    return latest(read_reports(spark, path, kind))
+
+
+def load_latest_report(spark: SparkSession, path: str, kind: str, dataset: str) -> DataFrame:
+    """The newest report of a kind about one dataset; fails if there is none."""
+    reports = read_reports(spark, path, kind).where(F.col("dataset") == dataset)
     if reports.isEmpty():
         raise FileNotFoundError(f"no {kind} report about {dataset} in {path}")
     return latest(reports)
