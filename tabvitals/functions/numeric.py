@@ -48,14 +48,16 @@ def round_columns(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
     """
     scaled, final = [], {}
     for name, places in digits.items():
-        x, scale = f"`{name}`", f"{float(10**places)}D"
+        x, scale = quoted(name), f"{float(10**places)}D"
         product, spread = f"`{name} scaled`", f"`{name} spread`"
         scaled += [f"{x} * {scale} AS {product}", f"{x} * {_SPLITTER}D AS {spread}"]
         high = f"({spread} - ({spread} - {x}))"
         error = f"({high} * {scale} - {product}) + ({x} - {high}) * {scale}"
         nudge = f"IF(abs({product} - rint({product})) = 0.5D, 0.25D * signum({error}), 0D)"
-        final[name] = f"rint({product} + {nudge}) / {scale} AS {x}"
-    columns = [final.get(c, f"`{c}`") for c in df.columns]
+        rounded = f"rint({product} + {nudge}) / {scale}"
+        # From 2**53 on, neighbouring doubles are further apart than the last decimal.
+        final[name] = f"IF(abs({product}) < {2.0**53}D, {rounded}, {x}) AS {x}"
+    columns = [final.get(c, quoted(c)) for c in df.columns]
     return df.selectExpr("*", *scaled).selectExpr(*columns)
 
 

@@ -23,7 +23,7 @@ from tabvitals.functions.numeric import number, quoted
 # positive numbers, whose powers start at -1074, above 0 and thus above those of negative ones.
 _MAGNITUDE = (
     "CASE WHEN value = 0 THEN 0D "
-    "ELSE signum(value) * (40000 + floor(ln(abs(value)) * 46.16624130844683D)) END"
+    "ELSE signum(value) * (40000D + floor(ln(abs(value)) * 46.16624130844683D)) END"
 )
 _BINS = 4_096
 _SHARE = f"least(floor((value - low) / (high - low) * {_BINS}), {_BINS - 1}D)"
