@@ -23,9 +23,9 @@ def _of_type(df: DataFrame, kinds: tuple) -> list[str]:
 
 def describe(df: DataFrame) -> DataFrame:
     """A row per numeric column: count, mean, sample deviation, range, exact quartiles; 2 decimals."""
-    df = normalise(df)
     names = _of_type(df, _NUMBERS)
     quartiles = exact_quantiles(df, names, _QUARTILES)
+    df = normalise(df)
     aggregates, entries = row_count(), []
     for i, name in enumerate(names):
         value, place = f"CAST({quoted(name)} AS DOUBLE)", df.columns.index(name)
@@ -52,7 +52,9 @@ def _micros(name: str, data_type: T.DataType) -> Column:
     """Microseconds since 1970, in UTC for a timestamp and by the clock for one without zone."""
     if isinstance(data_type, T.TimestampType):
         return F.unix_micros(column(name))
-    return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01'"), column(name))
+    # By way of an interval: `timestampdiff` would pass through the zone of the session.
+    seconds = f"CAST({quoted(name)} - timestamp_ntz'1970-01-01' AS INTERVAL SECOND)"
+    return F.expr(f"CAST(CAST({seconds} AS DECIMAL(20,6)) * 1000000 AS BIGINT)")
 
 
 def describe_timestamps(df: DataFrame) -> DataFrame:
@@ -95,7 +97,8 @@ def describe_timestamps(df: DataFrame) -> DataFrame:
 
 
 def _moment(micros: str) -> str:
-    return f"timestampadd(MICROSECOND, CAST({micros} AS BIGINT), timestamp_ntz'1970-01-01')"
+    seconds = f"CAST({micros} AS DECIMAL(20,0)) / 1000000"
+    return f"timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, {seconds})"
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -91,8 +91,8 @@ def outlier_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
     Without `columns`, the int, bigint and double columns are checked. Shares are of the
     non-missing values.
     """
-    df = normalise(df)
     limits = fences(df, numeric_columns(df) if columns is None else columns)
+    df = normalise(df)
     return outlier_rows(measure(df, row_count() | outlier_aggregates(df, limits)), limits)
 
 

@@ -52,7 +52,9 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column, None for a column without values.
 
-    Values are compared as doubles. What reaches the driver is one bucket per wanted rank.
+    Values are compared as doubles, without NaN. What reaches the driver is one bucket per
+    wanted rank. The table need not be normalised: the ranges of the later scans then reach
+    the files, and parts of them without such values are skipped.
     """
     result = {}
     for i in range(0, len(columns), _COLUMNS_PER_PASS):
@@ -125,7 +127,7 @@ def _holding(ranks: list[str]) -> str:
 
 def _magnitude_buckets(df, columns, probabilities):
     """Row counts per column, and the magnitude buckets that hold a wanted rank."""
-    entries = ", ".join(f"{slot}, {quoted(c)}" for slot, c in enumerate(columns))
+    entries = ", ".join(f"{slot}, nanvl({quoted(c)}, NULL)" for slot, c in enumerate(columns))
     values = df.selectExpr(f"stack({len(columns)}, {entries}) AS (slot, value)")
     ranks = [f"{f}((total - 1) * {float(p)}D)" for p in probabilities for f in ("floor", "ceil")]
     rows = _counted(values, _MAGNITUDE).where(_holding(ranks)).collect()

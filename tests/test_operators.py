@@ -288,6 +288,17 @@ def test_timestamps_with_zone(spark):
         assert (row.min, row.max) == tuple(times)
 
 
+def test_clock_times_do_not_depend_on_the_zone_of_the_session(spark):
+    clock = [dt.datetime(2024, 3, 10, hour, 30) for hour in (0, 1, 2, 3, 4)]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(t,) for t in clock], "t timestamp_ntz")
+        row = one(tv.describe_timestamps(df))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (row["mean"], row.p25, row.p50, row.max) == (clock[2], clock[1], clock[2], clock[4])
+
+
 def test_value_counts_show_missing_values(spark):
     df = spark.createDataFrame([("a", 1), (None, 1), ("b", 2), ("b", 1)], "s string, n int")
     counts = [tuple(r) for r in tv.value_counts(df, ["s", "missing", "n"]).collect()]
