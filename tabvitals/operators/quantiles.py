@@ -13,6 +13,7 @@ magnitude, `_BINS` per range, or `_FEW_ROWS` values.
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +30,10 @@ _BINS = 4_096
 _SHARE = f"least(floor((value - low) / (high - low) * {_BINS}), {_BINS - 1}D)"
 _FEW_ROWS = 1_000_000
 
-# Keeps the generated code of a scan small enough to be compiled to machine code.
-_COLUMNS_PER_PASS = 16
+# Columns handled by one job, and what one scan within it unfolds. The latter keeps the
+# generated code small enough for the JVM to compile (8000 bytes; 24 ranges take 6800).
+_COLUMNS_PER_JOB = 32
+_ENTRIES_PER_SCAN = 24
 
 
 @dataclass(frozen=True)
@@ -53,12 +56,11 @@ def exact_quantiles(
     """Linearly interpolated quantiles per column, None for a column without values.
 
     Values are compared as doubles, without NaN. What reaches the driver is one bucket per
-    wanted rank. The table need not be normalised: the ranges of the later scans then reach
-    the files, and parts of them without such values are skipped.
+    wanted rank.
     """
     result = {}
-    for i in range(0, len(columns), _COLUMNS_PER_PASS):
-        part = columns[i : i + _COLUMNS_PER_PASS]
+    for i in range(0, len(columns), _COLUMNS_PER_JOB):
+        part = columns[i : i + _COLUMNS_PER_JOB]
         values = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS {quoted(c)}" for c in part])
         result |= _quantiles_together(values, part, probabilities)
     return result
@@ -102,6 +104,13 @@ def _interpolate(found, name, rows, probability):
     return high - (high - low) * (1 - part) if part >= 0.5 else low + (high - low) * part
 
 
+def _unfolded(df: DataFrame, entries: list[str], columns: str) -> DataFrame:
+    """A row per entry and row of the table, by one scan for every few entries."""
+    parts = [entries[i : i + _ENTRIES_PER_SCAN] for i in range(0, len(entries), _ENTRIES_PER_SCAN)]
+    scans = [df.selectExpr(f"stack({len(p)}, {', '.join(p)}) AS ({columns})") for p in parts]
+    return reduce(DataFrame.unionAll, scans)
+
+
 def _counted(values: DataFrame, bucket: str) -> DataFrame:
     """Per slot and bucket: rows, range of values, rows below in the slot, rows in the slot."""
     counts = (
@@ -127,8 +136,8 @@ def _holding(ranks: list[str]) -> str:
 
 def _magnitude_buckets(df, columns, probabilities):
     """Row counts per column, and the magnitude buckets that hold a wanted rank."""
-    entries = ", ".join(f"{slot}, nanvl({quoted(c)}, NULL)" for slot, c in enumerate(columns))
-    values = df.selectExpr(f"stack({len(columns)}, {entries}) AS (slot, value)")
+    entries = [f"{slot}, nanvl({quoted(c)}, NULL)" for slot, c in enumerate(columns)]
+    values = _unfolded(df, entries, "slot, value")
     ranks = [f"{f}((total - 1) * {float(p)}D)" for p in probabilities for f in ("floor", "ceil")]
     rows = _counted(values, _MAGNITUDE).where(_holding(ranks)).collect()
     counts = {columns[r.slot]: r.total for r in rows}
@@ -138,16 +147,13 @@ def _magnitude_buckets(df, columns, probabilities):
 def _finer_buckets(df, unresolved, ranks):
     """The finer buckets inside `unresolved` that hold a wanted rank."""
     few = sum(b.rows for b in unresolved) <= _FEW_ROWS
-    within = [
-        f"{quoted(b.name)} BETWEEN {number(b.low)} AND {number(b.high)}" for b in unresolved
-    ]
-    entries = ", ".join(
-        f"{slot}, IF({within[slot]}, {quoted(b.name)}, NULL), {number(b.low)}, {number(b.high)}"
-        for slot, b in enumerate(unresolved)
-    )
-    values = df.where(" OR ".join(within)).selectExpr(
-        f"stack({len(unresolved)}, {entries}) AS (slot, value, low, high)"
-    )
+    entries = []
+    for slot, b in enumerate(unresolved):
+        name, low, high = quoted(b.name), number(b.low), number(b.high)
+        entries.append(f"{slot}, IF({name} BETWEEN {low} AND {high}, {name}, NULL), {low}, {high}")
+    # Rows without any such value are not filtered out first: for a filter on many computed
+    # columns, the optimizer derives a number of constraints exponential in the columns.
+    values = _unfolded(df, entries, "slot, value, low, high")
     wanted = [
         f"(slot = {slot} AND ({_holding([str(r - b.before) for r in ranks[b.name] if b.holds(r)])}))"
         for slot, b in enumerate(unresolved)

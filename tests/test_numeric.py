@@ -95,6 +95,14 @@ def test_exact_quantiles_equal_sorting(spark, monkeypatch, few):
             assert a == e or (math.isnan(e) and name in ("infinite", "max")), (name, e, a)
 
 
+def test_quantiles_of_many_computed_columns(spark):
+    """Planning must not take long, however many columns there are."""
+    names = [f"c{i}" for i in range(40)]
+    df = spark.range(1000).selectExpr(*[f"id * {i + 1} AS c{i}" for i in range(40)])
+    expected = {n: [249.75 * (i + 1), 499.5 * (i + 1)] for i, n in enumerate(names)}
+    assert quantiles.exact_quantiles(df, names, [0.25, 0.5]) == expected
+
+
 def test_quantiles_of_whole_numbers(spark):
     df = spark.range(101).selectExpr("CAST(id AS INT) AS a", "id * 1000 AS b")
     assert quantiles.exact_quantiles(df, ["a", "b"], [0.25, 0.5]) == {
