@@ -299,7 +299,7 @@ def taxi_value_counts(spark, folder):
 
 
 def taxi_monitor(spark: SparkSession, folder: str, path: str | None = None):
-    return tv.run_monitor(
+    return tv.monitor_table(
         inputs.TRIPS.frame(spark, folder),
         "trips",
         suite=taxi.suite(),
@@ -334,7 +334,7 @@ def saved_profile(spark, folder):
     """The rule section of a profile report, saved and loaded again."""
     path = _report_folder(spark)
     trips = inputs.TRIPS.frame(spark, folder)
-    tv.run_profile(
+    tv.profile_and_save(
         trips, "trips", path, numeric=[], rules=taxi.rules(), key_columns=["VendorID"]
     )
     report = tv.load_latest_report(spark, path, reports.PROFILE, "trips")
@@ -344,7 +344,7 @@ def saved_profile(spark, folder):
 def saved_validation(spark, folder):
     """The failures in a validation report, saved and loaded again."""
     path = _report_folder(spark)
-    tv.run_validation(_lineitem(spark, folder), "lineitem", lineitem_suite(), path)
+    tv.validate_and_save(_lineitem(spark, folder), "lineitem", lineitem_suite(), path)
     report = tv.load_latest_report(spark, path, reports.VALIDATION, "lineitem")
     return report.select("dataset", "success_pct", F.inline("failed_details"))
 

@@ -24,9 +24,9 @@ from tabvitals.operators.score import health_score
 from tabvitals.plans.monitor import (
     latest_findings_text,
     report_sections,
-    run_monitor,
-    run_profile,
-    run_validation,
+    monitor_table,
+    profile_and_save,
+    validate_and_save,
     save_explanations,
 )
 from tabvitals.plans.profile import (

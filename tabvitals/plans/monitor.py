@@ -45,7 +45,7 @@ class MonitorRun:
         save_report(validation_report(self.validation), path, VALIDATION)
 
 
-def run_monitor(
+def monitor_table(
     df: DataFrame,
     dataset: str,
     suite: Sequence[Expectation],
@@ -61,14 +61,14 @@ def run_monitor(
     return run
 
 
-def run_profile(df: DataFrame, dataset: str, reports: str, **options) -> Profile:
+def profile_and_save(df: DataFrame, dataset: str, reports: str, **options) -> Profile:
     """Profile a table and save the report; options as for `check_table`."""
     profile = profile_table(df, dataset, **options)
     save_report(profile_report(profile), reports, PROFILE)
     return profile
 
 
-def run_validation(
+def validate_and_save(
     df: DataFrame,
     dataset: str,
     suite: Sequence[Expectation],

@@ -21,7 +21,7 @@ def _at(day):
 
 
 def _run(table, name, day=1, path=None, upper=10):
-    return tv.run_monitor(
+    return tv.monitor_table(
         table,
         name,
         [tv.between("x", 0, upper, description="small"), tv.not_null("id")],
