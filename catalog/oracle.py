@@ -721,7 +721,7 @@ ORACLE = {
     "outlier_profile_events": outlier_profile(EVENTS, ["value"]),
     "outlier_summary": outlier_summary(LINEITEM_OUTLIERS),
     "severe_outliers": (
-        f"SELECT * FROM ({outlier_profile(LINEITEM, LINEITEM_NUMBERS)}) "
+        f"SELECT * FROM ({outlier_profile(EVENTS, ['value'])}) "
         "WHERE severity IN ('critical', 'severe')"
     ),
     "rule_profile": SHIPMENT_RULES,

@@ -170,7 +170,7 @@ def outlier_summary(spark, folder):
 
 
 def severe_outliers(spark, folder):
-    return tv.severe_outliers(outlier_profile_all_numeric(spark, folder))
+    return tv.severe_outliers(outlier_profile_events(spark, folder))
 
 
 # Rules

@@ -33,8 +33,8 @@ class Expectation:
 
     A column expectation has the predicate `unexpected`, true for a bad value; it passes if at
     least the share `mostly` of the values considered is good. Missing values are considered
-    only with `considers_missing`. A table expectation has `holds` instead, evaluated on the
-    row count and the column names.
+    only with `considers_missing`. A table expectation has one of `rows_between`, `column_set`
+    and `column_count` instead.
     """
 
     expectation: str

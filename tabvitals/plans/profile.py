@@ -1,11 +1,13 @@
 """The whole profile of a table: all sections from as few scans as they need."""
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tabvitals.functions.numeric import normalise
 from tabvitals.operators.duplicates import duplicate_measures, duplicate_rows
@@ -72,9 +74,14 @@ def check_table(
     expectations then share one scan. Duplicates shuffle row fingerprints and keys. The
     measured row is materialised, so using a section costs no further scan.
     """
-    limits = fences(df, list(numeric_columns(df) if numeric is None else numeric))
-    df = normalise(df)
-    rules = applicable(df, rules)
+    keys, numeric = list(key_columns), numeric_columns(df) if numeric is None else list(numeric)
+    clean = normalise(df)
+    with ThreadPoolExecutor(1) as pool:
+        # Neither needs the other, and each leaves executors idle between its scans.
+        count_repeats = inheritable_thread_target(df.sparkSession)(duplicate_measures)
+        repeats = pool.submit(count_repeats, clean, keys)
+        limits = fences(df, numeric)
+    df, rules = clean, applicable(clean, rules)
     aggregates = (
         row_count()
         | null_aggregates(df)
@@ -83,8 +90,7 @@ def check_table(
         | rule_aggregates(df, rules)
         | expectation_aggregates(df, suite)
     )
-    keys = list(key_columns)
-    measured = materialise(merge_rows([measure(df, aggregates), duplicate_measures(df, keys)]))
+    measured = materialise(merge_rows([measure(df, aggregates), repeats.result()]))
 
     nulls = null_rows(measured, df)
     outliers = outlier_rows(measured, limits)
