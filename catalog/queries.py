@@ -89,7 +89,8 @@ def table_shapes(spark, folder):
     shapes = []
     for name in inputs.TABLES:
         table = tv.read_table(spark, f"{folder}/{name}.parquet")
-        shapes.append(tv.overview(table, name, run_time()).drop("profiled_at", "columns", "size_mb"))
+        shape = tv.overview(table, name).select("dataset_name", "row_count", "column_count")
+        shapes.append(shape)
     return reduce(DataFrame.unionByName, shapes)
 
 
@@ -138,7 +139,8 @@ def columns_with_nulls(spark, folder):
 
 def duplicate_profile(spark, folder):
     documents = inputs.DOCUMENTS.frame(spark, folder)
-    return _listed(tv.duplicate_profile(documents, ["lang", "n_chars", "missing"]), "key_columns_checked")
+    profile = tv.duplicate_profile(documents, ["lang", "n_chars", "missing"])
+    return _listed(profile, "key_columns_checked")
 
 
 def duplicate_profile_clean(spark, folder):

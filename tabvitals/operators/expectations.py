@@ -64,7 +64,9 @@ def column_count_equals(value: int, **meta) -> Expectation:
     return Expectation(COLUMN_COUNT_EQUAL, column_count=value, **meta)
 
 
-def row_count_between(min_value: int | None = None, max_value: int | None = None, **meta) -> Expectation:
+def row_count_between(
+    min_value: int | None = None, max_value: int | None = None, **meta
+) -> Expectation:
     """Bounds are inclusive; either may be absent."""
     return Expectation(ROW_COUNT_BETWEEN, rows_between=(min_value, max_value), **meta)
 

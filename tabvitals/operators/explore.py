@@ -22,7 +22,10 @@ def _of_type(df: DataFrame, kinds: tuple) -> list[str]:
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """A row per numeric column: count, mean, sample deviation, range, exact quartiles; 2 decimals."""
+    """A row per numeric column: count, mean, sample deviation, range and exact quartiles.
+
+    Values have 2 decimals.
+    """
     names = _of_type(df, _NUMBERS)
     quartiles = exact_quantiles(df, names, _QUARTILES)
     df = normalise(df)
@@ -90,7 +93,8 @@ def describe_timestamps(df: DataFrame) -> DataFrame:
             | {k: _moment(s) for k, s in statistics.items()}
         )
     times = ", ".join(f"{k} timestamp_ntz" for k in ("mean", "min", "max", "p25", "p50", "p75"))
-    rows = to_rows(measure(micros, aggregates), entries, f"column_name string, count bigint, {times}")
+    schema = f"column_name string, count bigint, {times}"
+    rows = to_rows(measure(micros, aggregates), entries, schema)
     return rows.select(
         "ordinal", "column_name", "count", "mean", "min", "p25", "p50", "p75", "max"
     )

@@ -90,6 +90,9 @@ FAILED_EXPECTATION_LINES = (
 )
 
 
+_OUTLIER_DETAIL = "actual [%s, %s], expected [%s, %s]"
+
+
 def _field(spec: str) -> str:
     kind, name = spec.split(":")
     shown = {
@@ -141,7 +144,7 @@ def findings(rules: DataFrame, outliers: DataFrame, results: DataFrame) -> DataF
             F.col("total_outliers").alias("count"),
             F.col("outlier_pct").alias("pct"),
             "severity",
-            F.expr(f"format_string('actual [%s, %s], expected [%s, %s]', {limits})").alias("detail"),
+            F.expr(f"format_string({literal(_OUTLIER_DETAIL)}, {limits})").alias("detail"),
         ),
         failed_details(results).select(
             "dataset",

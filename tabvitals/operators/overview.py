@@ -34,7 +34,8 @@ def value_bytes(value: Column, data_type: T.DataType) -> Column:
     """Logical bytes of one value as bigint; NULL takes none."""
     width = _fixed_width(data_type)
     if width is not None:
-        return F.when(value.isNotNull(), F.lit(width).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        size = F.lit(width).cast("bigint")
+        return F.when(value.isNotNull(), size).otherwise(F.lit(0).cast("bigint"))
     if isinstance(data_type, (T.StringType, T.BinaryType)):
         size = F.octet_length(value).cast("bigint")
     elif isinstance(data_type, T.ArrayType):
@@ -101,7 +102,9 @@ def overview_rows(
     return round_columns(row, {"size_mb": 2})
 
 
-def overview(df: DataFrame, dataset_name: str = "dataset", profiled_at: Column | None = None) -> DataFrame:
+def overview(
+    df: DataFrame, dataset_name: str = "dataset", profiled_at: Column | None = None
+) -> DataFrame:
     """One row: name, time, row and column counts, column names, logical size in MB."""
     df = normalise(df)
     measured = measure(df, row_count() | size_aggregates(df))

@@ -175,10 +175,10 @@ def profile_report(profile: Profile) -> DataFrame:
         F.col("overview.profiled_at").alias("run_ts"),
         "overview",
         "column_types",
-        F.struct(F.col("null_summary").alias("summary"), F.col("nulls").alias("by_column")).alias("nulls"),
+        F.expr("struct(null_summary AS summary, nulls AS by_column)").alias("nulls"),
         "duplicates",
-        F.struct(F.col("outlier_summary").alias("summary"), F.col("outliers").alias("by_column")).alias("outliers"),
-        F.struct(F.col("rule_summary").alias("summary"), F.col("rules").alias("by_rule")).alias("business_rules"),
+        F.expr("struct(outlier_summary AS summary, outliers AS by_column)").alias("outliers"),
+        F.expr("struct(rule_summary AS summary, rules AS by_rule)").alias("business_rules"),
         "health_score",
     )
 
