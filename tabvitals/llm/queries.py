@@ -2,12 +2,18 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabvitals.llm import lines, sharding
+from tabvitals.llm import lines, quality, sharding
 from tabvitals.llm.common import documents
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, votes, quality and verdict of every document."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    return quality.scored(docs, "text").drop("text")
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document, by its id."""
     return sharding.place(documents(spark, folder).select("doc_id"), "doc_id", SHARDS)
@@ -20,6 +26,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
     "op8_sharding": op8_sharding,
     "op10_line_dedup": op10_line_dedup,
 }
