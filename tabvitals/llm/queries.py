@@ -1,19 +1,31 @@
 """One query per operator of this package, over its whole table, with production parameters."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabvitals.llm import lines, quality, sharding
+from tabvitals.llm import bpe, licenses, lines, quality, sharding
 from tabvitals.llm.common import documents
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 
 
+def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Base phrases and licences of every document."""
+    return licenses.digest(licenses.scanned(documents(spark, folder)))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, votes, quality and verdict of every document."""
     docs = documents(spark, folder).select("doc_id", "text")
     return quality.scored(docs, "text").drop("text")
 
 
+def op5_bpe(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
+    """Number of tokens and digests of the ids and of the decoded text of every document."""
+    path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.digest(documents(spark, folder), bpe.load(path))
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document, by its id."""
     return sharding.place(documents(spark, folder).select("doc_id"), "doc_id", SHARDS)
@@ -26,7 +38,9 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op3_quality_rules": op3_quality_rules,
+    "op5_bpe": op5_bpe,
     "op8_sharding": op8_sharding,
     "op10_line_dedup": op10_line_dedup,
 }
