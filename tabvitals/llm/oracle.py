@@ -23,6 +23,25 @@ def _turns(names: list[str], size: int) -> list[int]:
 
 _SLOTS = _turns([f"shard-{i:02d}" for i in range(64)], 65537)
 
+OP4 = """
+WITH p AS (
+  SELECT page_id, url, coalesce(html, '') AS html FROM pages
+),
+d AS (
+  SELECT page_id, url, octet_length(encode(html)) AS payload_bytes, sha1(html) AS payload_digest
+  FROM p
+),
+o AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS owner FROM d
+)
+SELECT page_id, url, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND owner > page_id THEN 'revisit' ELSE 'response' END
+    AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND owner > page_id THEN owner END AS refers_to,
+  greatest(1, CAST(ceil(payload_bytes / 1048576) AS BIGINT)) AS n_chunks
+FROM o
+"""
+
 OP8 = f"""
 WITH t AS (SELECT CAST([{",".join(map(str, _SLOTS))}] AS INTEGER[]) AS slots),
 p AS (
@@ -63,4 +82,4 @@ SELECT doc_id, source, array_to_string(rest, chr(10)) AS text,
 FROM cut
 """
 
-ORACLE = {"op8_sharding": OP8, "op10_line_dedup": OP10}
+ORACLE = {"op4_warc": OP4, "op8_sharding": OP8, "op10_line_dedup": OP10}

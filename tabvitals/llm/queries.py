@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabvitals.llm import bpe, licenses, lines, quality, sharding
-from tabvitals.llm.common import documents
+from tabvitals.llm import bpe, licenses, lines, quality, secrets, sharding, warc
+from tabvitals.llm.common import documents, shared_folder
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 
@@ -20,12 +20,23 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(docs, "text").drop("text")
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page, written to a WARC archive and read back from it."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    return warc.round_trip(pages, shared_folder(spark, "warc"))
+
+
 def op5_bpe(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
     """Number of tokens and digests of the ids and of the decoded text of every document."""
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digest(documents(spark, folder), bpe.load(path))
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """The secrets of every document."""
+    return secrets.digest(secrets.found(documents(spark, folder)))
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document, by its id."""
     return sharding.place(documents(spark, folder).select("doc_id"), "doc_id", SHARDS)
@@ -40,7 +51,9 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op3_quality_rules": op3_quality_rules,
+    "op4_warc": op4_warc,
     "op5_bpe": op5_bpe,
+    "op7_secrets": op7_secrets,
     "op8_sharding": op8_sharding,
     "op10_line_dedup": op10_line_dedup,
 }
