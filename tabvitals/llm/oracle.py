@@ -55,6 +55,39 @@ SELECT doc_id, slot, slots[slot + 1] AS shard,
 FROM p, t
 """
 
+OP9 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(words) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(words) = 1 THEN words
+    ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS h
+  FROM w
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a
+),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
 OP10 = """
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS parts
@@ -82,4 +115,9 @@ SELECT doc_id, source, array_to_string(rest, chr(10)) AS text,
 FROM cut
 """
 
-ORACLE = {"op4_warc": OP4, "op8_sharding": OP8, "op10_line_dedup": OP10}
+ORACLE = {
+    "op4_warc": OP4,
+    "op8_sharding": OP8,
+    "op9_near_duplicates": OP9,
+    "op10_line_dedup": OP10,
+}

@@ -3,7 +3,17 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabvitals.llm import bpe, licenses, lines, quality, secrets, sharding, warc
+from tabvitals.llm import (
+    bpe,
+    decontaminate,
+    licenses,
+    lines,
+    near_dups,
+    quality,
+    secrets,
+    sharding,
+    warc,
+)
 from tabvitals.llm.common import documents, shared_folder
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
@@ -14,6 +24,12 @@ def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.digest(licenses.scanned(documents(spark, folder)))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The benchmark items that documents hold, also edited."""
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontaminate.found(documents(spark, folder), items)
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, votes, quality and verdict of every document."""
     docs = documents(spark, folder).select("doc_id", "text")
@@ -42,6 +58,12 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(documents(spark, folder).select("doc_id"), "doc_id", SHARDS)
 
 
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of near-duplicates of every document, by runs of two words."""
+    rows = near_dups.grouped(documents(spark, folder), width=2)
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the boilerplate lines of its source."""
     docs = documents(spark, folder).select("doc_id", "source", "text")
@@ -50,10 +72,12 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_licenses": op1_licenses,
+    "op2_decontamination": op2_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
     "op5_bpe": op5_bpe,
     "op7_secrets": op7_secrets,
     "op8_sharding": op8_sharding,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_line_dedup": op10_line_dedup,
 }
