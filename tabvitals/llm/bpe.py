@@ -261,12 +261,13 @@ def decoded(rows: DataFrame, vocabulary: Vocabulary, key: str = "doc_id") -> Dat
     return source.mapInArrow(decode, f"key {kind}, text string").withColumnRenamed("key", key)
 
 
-def digest(
+def coded(
     docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Per row of the input: key, n_tokens, ids_sha256 and decoded_sha256.
+    """Per row of the input: key, ids, n_tokens, ids_sha256 and decoded_sha256.
 
-    Ids and decoded texts are digested where they are made; neither leaves the worker.
+    The digests are those of the ids in decimal, joined by commas, and of the text decoded from
+    them, in UTF-8; both are taken where the ids are made.
     """
     source, kind = _source(docs, key, text)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -276,20 +277,27 @@ def digest(
         for batch in batches:
             at = 0
             for run in _runs(batch.column(1)):
-                n_tokens, ids_hex, text_hex = [], [], []
+                all_ids, n_tokens, ids_hex, text_hex = [], [], [], []
                 for ids in coder.encoded(run):
+                    all_ids.append(np.array(ids, np.int32))
                     n_tokens.append(len(ids))
                     ids_hex.append(hashlib.sha256(coder.joined(ids).encode()).hexdigest())
                     text_hex.append(hashlib.sha256(coder.decoded(ids).encode()).hexdigest())
                 keys = batch.column(0).slice(at, len(run))
                 at += len(run)
-                yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array(n_tokens, pa.int64()), pa.array(ids_hex), pa.array(text_hex)],
-                    ["key", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                columns = [
+                    keys,
+                    pa.array(all_ids, pa.list_(pa.int32())),
+                    pa.array(n_tokens, pa.int64()),
+                    pa.array(ids_hex),
+                    pa.array(text_hex),
+                ]
+                names = ["key", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = source.mapInArrow(
-        work, f"key {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        work,
+        f"key {kind}, ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     )
     return rows.withColumnRenamed("key", key)
 

@@ -58,36 +58,44 @@ def boilerplate(
     return frequent.groupBy("host_key").agg(F.collect_list("line").alias("bad"))
 
 
+def _cut(
+    pages: DataFrame, host: str, text: str, ratio: float, min_pages: int
+) -> tuple[DataFrame, str]:
+    """The pages with the lines that are left (null for a null text), and that column's name."""
+    key, bad = fresh(pages, "host_key"), fresh(pages, "bad")
+    lists = boilerplate(pages, host, text, ratio, min_pages)
+    lists = lists.select(F.col("host_key").alias(key), F.col("bad").alias(bad))
+    joined = pages.withColumn(key, _host(F.col(f"`{host}`"))).join(lists, key, "left")
+    lines = _lines(F.col(f"`{text}`"))
+    left = fresh(joined, "left_lines")
+    rest = F.filter(
+        lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(bad), _hash(F.trim(x)))
+    )
+    return joined.withColumn(left, F.when(F.col(bad).isNull(), lines).otherwise(rest)), left
+
+
 def without_boilerplate(
     pages: DataFrame,
     host: str = "source",
     text: str = "text",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
+    counts: bool = True,
 ) -> DataFrame:
-    """The pages with the text that is left, and the columns n_lines and n_dropped.
+    """The pages with the text that is left and, if wanted, the columns n_lines and n_dropped.
 
     A page keeps its row even if all its lines go; its text is then empty. A null text stays null
     and has no lines; an empty one has one blank line. Pages without a host are taken as those of
     one host, and repeated rows as pages of their own. A host with less than `min_pages` pages
-    keeps all its lines. Columns named n_lines or n_dropped are replaced; others stay.
+    keeps all its lines. Other columns stay; counts take the place of columns of their names.
     """
-    kept = pages.drop("n_lines", "n_dropped")
-    key, bad = fresh(kept, "host_key"), fresh(kept, "bad")
-    lists = boilerplate(pages, host, text, ratio, min_pages)
-    lists = lists.select(F.col("host_key").alias(key), F.col("bad").alias(bad))
-    joined = kept.withColumn(key, _host(F.col(f"`{host}`"))).join(lists, key, "left")
-    lines = _lines(F.col(f"`{text}`"))
-    left = fresh(joined, "left_lines")
-    rest = F.filter(
-        lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(bad), _hash(F.trim(x)))
-    )
-    joined = joined.withColumn(left, F.when(F.col(bad).isNull(), lines).otherwise(rest))
+    added = ["n_lines", "n_dropped"] if counts else []
+    kept = [c for c in pages.columns if c.lower() not in added]
+    cut, left = _cut(pages, host, text, ratio, min_pages)
     columns = [
-        F.array_join(F.col(left), "\n").alias(c) if c == text else F.col(f"`{c}`")
-        for c in kept.columns
+        F.array_join(F.col(left), "\n").alias(c) if c == text else F.col(f"`{c}`") for c in kept
     ]
-    n = F.coalesce(F.size(lines), F.lit(0))
-    n = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(n).cast("long")
-    dropped = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(n - F.size(F.col(left)))
-    return joined.select(*columns, n.alias("n_lines"), dropped.cast("long").alias("n_dropped"))
+    n = F.when(F.col(left).isNull(), 0).otherwise(F.size(_lines(F.col(f"`{text}`"))))
+    dropped = F.when(F.col(left).isNull(), 0).otherwise(n - F.size(F.col(left)))
+    numbers = [n.cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped")]
+    return cut.select(*columns, *(numbers if counts else []))

@@ -197,6 +197,16 @@ def fitted(votes: DataFrame, rounds: int = 100) -> LabelModel:
     )
 
 
+def _judged(
+    docs: DataFrame, text: str, threshold: float, found: str
+) -> tuple[DataFrame, Column, Column]:
+    """The rows with a struct of measures, their quality, and whether they are kept."""
+    rows = docs.withColumn(found, features(F.col(f"`{text}`")))
+    model = fitted(rows.select(f"{found}.*").select(*RULES))
+    quality = model.posterior({r: F.col(f"{found}.{r}") for r in RULES})
+    return rows, quality, ~F.col(f"{found}.base_failed") & (quality >= threshold)
+
+
 def scored(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows with the counts, base_failed, votes, quality (posterior) and kept.
 
@@ -205,12 +215,17 @@ def scored(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataF
     frame stays empty. Columns of the input that have a name of the result are replaced.
     """
     names = [*COUNTS, "base_failed", *RULES, "quality", "kept"]
-    rest = docs.drop(*[c for c in docs.columns if c.lower() in names and c != text])
+    rest = docs.select(
+        *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in names or c == text]
+    )
     found = fresh(rest, "measured")
-    rows = rest.withColumn(found, features(F.col(f"`{text}`")))
-    model = fitted(rows.select(f"{found}.*").select(*RULES))
-    quality = model.posterior({r: F.col(f"{found}.{r}") for r in RULES})
+    rows, quality, kept = _judged(rest, text, threshold, found)
     parts = [F.col(f"{found}.{c}").alias(c) for c in [*COUNTS, "base_failed", *RULES]]
-    kept = ~F.col(f"{found}.base_failed") & (quality >= threshold)
     columns = [F.col(f"`{c}`") for c in rest.columns]
     return rows.select(*columns, *parts, quality.alias("quality"), kept.alias("kept"))
+
+
+def without_rejects(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows that are kept, with their own columns and no others."""
+    rows, _, kept = _judged(docs, text, threshold, fresh(docs, "measured"))
+    return rows.filter(kept).select(*[F.col(f"`{c}`") for c in docs.columns])

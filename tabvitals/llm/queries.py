@@ -2,10 +2,12 @@
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabvitals.llm import (
     bpe,
     decontaminate,
+    katz,
     licenses,
     lines,
     near_dups,
@@ -45,7 +47,14 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op5_bpe(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
     """Number of tokens and digests of the ids and of the decoded text of every document."""
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.digest(documents(spark, folder), bpe.load(path))
+    return bpe.coded(documents(spark, folder), bpe.load(path)).drop("ids")
+
+
+def op6_katz(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of every document, by a model of those of four of five remainders of a checksum."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5
+    return katz.scored(docs, remainder != 1)
 
 
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,6 +85,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
     "op5_bpe": op5_bpe,
+    "op6_katz": op6_katz,
     "op7_secrets": op7_secrets,
     "op8_sharding": op8_sharding,
     "op9_near_duplicates": op9_near_duplicates,
