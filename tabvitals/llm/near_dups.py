@@ -35,7 +35,7 @@ from tabvitals.llm.sketch import band_keys, fingerprint
 
 WIDTH = 5  # words in a shingle
 PERCENT = 80  # least similarity
-BLOCK = 512  # members of a bucket that a task compares with as many others
+BLOCK = 1024  # members of a bucket that a task compares with as many others
 
 
 def shingles(text: str | None, width: int, hashes: WordHashes) -> np.ndarray:
