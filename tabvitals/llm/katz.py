@@ -78,6 +78,8 @@ def unpacked_keys(data: bytes) -> np.ndarray:
 
 def bucket_slices(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     """Sorted hashes by their top bits: the buckets that have some, and where."""
+    if not len(keys):
+        return
     buckets = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
     starts = np.flatnonzero(np.diff(buckets, prepend=buckets[:1] + np.uint64(1)))
     for i, j in zip(starts, [*starts[1:], len(keys)], strict=True):
