@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from tabvitals.llm.common import mixed, spaced_words, written
 
 CUTOFF = 5  # counts above it are not discounted
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_000_000  # laid out, some 100 MB
 BUCKET_KEYS = 1_000_000  # requests that meet in one group, about
 #: Hashes of the marks around a text; no word has white space.
 START, END = (xxhash.xxh3_64_intdigest(mark) for mark in (b"\nstart", b"\nend"))
