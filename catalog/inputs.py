@@ -175,6 +175,43 @@ ANSWERS = Input(
     },
 )
 
+# Events as answers whose explanations are not what they should be.
+MIXED_ANSWERS = Input(
+    "events",
+    {
+        "event_id": "event_id",
+        "response": (
+            "CASE WHEN event_type = 'click' THEN concat('{\"explanations\": [', "
+            f"{_ISSUE}, ', \"oops\", 3], \"notes\": \"kept\"}}') "
+            "WHEN event_type = 'view' THEN concat('{\"explanations\": \"none\", "
+            "\"overall_assessment\": \"', event_type, '\"}') "
+            "WHEN event_type = 'purchase' THEN '{\"explanations\": null}' "
+            f"ELSE concat('{{\"explanations\": [', {_SHORT_ISSUE}, ', null]}}') END"
+        ),
+    },
+)
+
+# Order lines with both zeros, and with infinite quartiles.
+SIGNED = Input(
+    "lineitem",
+    {
+        "zero": (
+            "CASE WHEN l_linenumber = 1 THEN CAST('-0.0' AS DOUBLE) "
+            "WHEN l_linenumber = 2 THEN CAST(0 AS DOUBLE) ELSE CAST(l_linenumber AS DOUBLE) END"
+        ),
+        "endless": "CASE WHEN l_linenumber < 7 THEN CAST('Infinity' AS DOUBLE) ELSE l_tax END",
+    },
+)
+
+# Rows with a missing value in either of two columns.
+SHIFTED = Input(
+    "events",
+    {
+        "a": "CASE WHEN user_id % 2 = 0 THEN event_type END",
+        "b": "CASE WHEN user_id % 2 = 1 THEN event_type END",
+    },
+)
+
 # Chat turns as stored answers, none of which is JSON.
 CHATS = Input(
     "conversations",

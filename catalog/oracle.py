@@ -1,10 +1,9 @@
 """The same queries in DuckDB SQL, written from the definitions of the checks."""
 
-from catalog import inputs
-from catalog.queries import KEYS, OUTLIER_COLUMNS
-from tabvitals.operators import findings as text
-from tabvitals.operators.explanations import ISSUE_DEFAULTS, PARSE_ERROR
-from tabvitals.presets import taxi
+from catalog import given, inputs
+
+KEYS = ["user_id", "event_type"]
+OUTLIER_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 NAN = "CAST('NaN' AS DOUBLE)"
 
@@ -215,7 +214,7 @@ LINEITEM_NUMBERS = [
     "l_linenumber",
     *OUTLIER_COLUMNS,
 ]
-TRIP_OUTLIERS = outlier_profile(TRIPS, taxi.OUTLIER_COLUMNS)
+TRIP_OUTLIERS = outlier_profile(TRIPS, given.OUTLIER_COLUMNS)
 
 
 # Rules
@@ -341,7 +340,7 @@ TRIP_RULES = rule_profile(
             "total_amount_matches_components",
             "total_amount",
             "total_amount ≈ sum of all fare components (±$0.10)",
-            mismatch("total_amount", taxi.AMOUNT_PARTS),
+            mismatch("total_amount", given.AMOUNT_PARTS),
             "warning",
         ),
     ],
@@ -492,15 +491,15 @@ TRIP_RESULTS = validation(
                 group="nulls",
                 description=f"{c} must never be null — required for every valid trip record",
             )
-            for c in taxi.NEVER_NULL
+            for c in given.NEVER_NULL
         ],
         *[
             between(c, low, high, mostly, group="ranges", description=d)
-            for c, low, high, mostly, d in taxi.RANGES
+            for c, low, high, mostly, d in given.RANGES
         ],
         *[
             in_set(c, values, mostly, group="categorical", description=d)
-            for c, values, mostly, d in taxi.VALUE_SETS
+            for c, values, mostly, d in given.VALUE_SETS
         ],
         row_count(
             "count(*) BETWEEN 1000000 AND 5000000",
@@ -576,7 +575,7 @@ def value_counts(source: str, columns: list[str]) -> str:
 # Findings
 
 TRIP_NULLS = null_profile(TRIPS, inputs.TRIPS.columns)
-TRIP_DUPLICATES = duplicate_profile(TRIPS, inputs.TRIPS.columns, taxi.KEY_COLUMNS)
+TRIP_DUPLICATES = duplicate_profile(TRIPS, inputs.TRIPS.columns, given.KEY_COLUMNS)
 TRIP_HEALTH = health_score(TRIP_NULLS, TRIP_RULES)
 
 FINDINGS = union(
@@ -621,20 +620,20 @@ def _sections() -> str:
         f"FROM ({TRIP_HEALTH})"
     )
     sections = [
-        (text.OVERVIEW_LINES, overview_row, "0"),
-        (text.NULL_LINES, null_summary(TRIP_NULLS), "0"),
-        (text.DUPLICATE_LINES, TRIP_DUPLICATES, "0"),
-        (text.OUTLIER_LINES, outlier_summary(TRIP_OUTLIERS), "0"),
+        (given.OVERVIEW_LINES, overview_row, "0"),
+        (given.NULL_LINES, null_summary(TRIP_NULLS), "0"),
+        (given.DUPLICATE_LINES, TRIP_DUPLICATES, "0"),
+        (given.OUTLIER_LINES, outlier_summary(TRIP_OUTLIERS), "0"),
         (
-            text.SEVERE_OUTLIER_LINES,
+            given.SEVERE_OUTLIER_LINES,
             f"SELECT * FROM ({TRIP_OUTLIERS}) WHERE severity IN ('critical', 'severe')",
             "ordinal",
         ),
-        (text.RULE_LINES, rule_summary(TRIP_RULES), "0"),
-        (text.FAILED_RULE_LINES, f"SELECT * FROM ({TRIP_RULES}) WHERE violations > 0", "ordinal"),
-        (text.VALIDATION_LINES, validation_summary(TRIP_RESULTS), "0"),
+        (given.RULE_LINES, rule_summary(TRIP_RULES), "0"),
+        (given.FAILED_RULE_LINES, f"SELECT * FROM ({TRIP_RULES}) WHERE violations > 0", "ordinal"),
+        (given.VALIDATION_LINES, validation_summary(TRIP_RESULTS), "0"),
         (
-            text.FAILED_EXPECTATION_LINES,
+            given.FAILED_EXPECTATION_LINES,
             f"SELECT * FROM ({TRIP_RESULTS}) WHERE NOT passed",
             "ordinal",
         ),
@@ -677,28 +676,56 @@ _EXPLAINED = f"json_extract({_JSON}, '$.explanations')"
 ISSUE_COUNT = f"CAST(coalesce(json_array_length({_EXPLAINED}), 0) AS INTEGER)"
 
 
+def _mixed() -> str:
+    """Answers with their text, their list of explanations, and what is wrong with it."""
+    listed = f"SELECT *, {_EXPLAINED} AS e FROM ({parsed(inputs.MIXED_ANSWERS.sql)})"
+    items = "CASE WHEN json_type(e) = 'ARRAY' THEN CAST(e AS JSON[]) ELSE [] END"
+    good = "list_filter(items, lambda i: json_type(i) = 'OBJECT')"
+    return (
+        f"SELECT *, {good} AS found, CASE WHEN NOT good THEN {quote(given.NOT_ONE_OBJECT)} "
+        "WHEN coalesce(json_type(e), 'NULL') = 'NULL' THEN NULL "
+        f"WHEN json_type(e) <> 'ARRAY' OR len({good}) < len(items) THEN {quote(given.NOT_A_LIST)} "
+        f"END AS parse_error FROM (SELECT *, {items} AS items FROM ({listed}))"
+    )
+
+
 def _answer(columns: str, source: str) -> str:
     return (
         f"SELECT {columns}, CASE WHEN good THEN NULL ELSE t END AS raw_response, "
-        f"CASE WHEN good THEN NULL ELSE {quote(PARSE_ERROR)} END AS parse_error FROM ({source})"
+        f"CASE WHEN good THEN NULL ELSE {quote(given.NOT_ONE_OBJECT)} END AS parse_error FROM ({source})"
     )
 
 
-def _issues() -> str:
-    items = (
-        f"SELECT event_id, unnest(CAST({_EXPLAINED} AS JSON[])) AS item, "
-        f"unnest(range(len(CAST({_EXPLAINED} AS JSON[])))) AS position FROM ({ANSWERS}) "
-        "WHERE good"
-    )
+def _issues(items: str) -> str:
     fields = ", ".join(
         f"coalesce(item ->> '$.{name}', {quote(default)}) AS \"{name}\""
-        for name, default in ISSUE_DEFAULTS.items()
+        for name, default in given.ISSUE_DEFAULTS.items()
         if name != "violation_count"
     )
     count = "coalesce(TRY_CAST(item ->> '$.violation_count' AS BIGINT), 0) AS violation_count"
     return f"SELECT event_id, CAST(position AS INTEGER) AS position, {fields}, {count} FROM ({items})"
 
 
+ISSUES = _issues(
+    f"SELECT event_id, unnest(CAST({_EXPLAINED} AS JSON[])) AS item, "
+    f"unnest(range(len(CAST({_EXPLAINED} AS JSON[])))) AS position FROM ({ANSWERS}) "
+    "WHERE good"
+)
+MIXED_ISSUES = _issues(
+    "SELECT event_id, unnest(found) AS item, unnest(range(len(found))) AS position "
+    f"FROM ({_mixed()})"
+)
+
+# Three of four rows and more are infinite, so both quartiles are, and nothing lies between them.
+INFINITE_OUTLIERS = (
+    "SELECT 0 AS ordinal, 'endless' AS column_name, max(endless) AS q1, max(endless) AS q3, "
+    "CAST(NULL AS DOUBLE) AS iqr, CAST(NULL AS DOUBLE) AS lower_fence, "
+    "CAST(NULL AS DOUBLE) AS upper_fence, CAST(0 AS BIGINT) AS outliers_low, "
+    "CAST(0 AS BIGINT) AS outliers_high, CAST(0 AS BIGINT) AS total_outliers, "
+    f"CAST(0 AS DOUBLE) AS outlier_pct, {rounded('min(endless)', 4)} AS actual_min, "
+    f"max(endless) AS actual_max, 'ok' AS severity FROM {inputs.SIGNED.sql}"
+)
+
 ORACLE = {
     "table_shapes": shapes(),
     "overview": overview(LINEITEM, "lineitem", sizes(LINEITEM_TYPES)),
@@ -716,6 +743,13 @@ ORACLE = {
         f"SELECT k AS key_column_dupes, {pct('k', 'n')} AS key_dupe_pct FROM "
         f"(SELECT {repeats(EVENTS, KEYS)} AS k, (SELECT count(*) FROM {EVENTS}) AS n)"
     ),
+    "key_duplicates_absent": (
+        f"SELECT key_column_dupes, {pct('key_column_dupes', 'n')} AS key_dupe_pct FROM ("
+        f"SELECT {repeats(EVENTS, ['event_type'])} AS key_column_dupes, "
+        f"(SELECT count(*) FROM {EVENTS}) AS n) UNION ALL SELECT 0, 0.0"
+    ),
+    "shifted_duplicates": duplicate_profile(inputs.SHIFTED.sql, ["a", "b"], ["a"]),
+    "outlier_profile_infinite": INFINITE_OUTLIERS,
     "outlier_profile": LINEITEM_OUTLIERS,
     "outlier_profile_all_numeric": outlier_profile(LINEITEM, LINEITEM_NUMBERS),
     "outlier_profile_events": outlier_profile(EVENTS, ["value"]),
@@ -750,12 +784,12 @@ ORACLE = {
     "exploration_checks": checks(
         TRIPS,
         {
-            "Negative trip_distance": "trip_distance < 0",
-            "Zero or negative fare_amount": "fare_amount <= 0",
-            "fare_amount > $500": "fare_amount > 500",
-            "passenger_count = 0": "passenger_count = 0",
-            "trip_distance=0 but fare>0": "trip_distance = 0 AND fare_amount > 0",
-            "Pickup time AFTER dropoff": "tpep_pickup_datetime > tpep_dropoff_datetime",
+            "distance_below_zero": "trip_distance < 0",
+            "fare_not_positive": "fare_amount <= 0",
+            "fare_over_500": "fare_amount > 500",
+            "no_passengers": "passenger_count = 0",
+            "fare_without_distance": "trip_distance = 0 AND fare_amount > 0",
+            "pickup_after_dropoff": "tpep_pickup_datetime > tpep_dropoff_datetime",
         },
     ),
     "health_score": health_score(null_profile(SHIPMENTS, inputs.SHIPMENTS.columns), SHIPMENT_RULES),
@@ -770,6 +804,7 @@ ORACLE = {
     "expect_in_set": validation(
         LINEITEM, [in_set("l_returnflag", ["A", "N"]), in_set("l_linestatus", ["F", "O"])]
     ),
+    "expect_in_set_with_none": validation(LINEITEM, [in_set("l_returnflag", ["A"])]),
     "expect_row_count": validation(
         LINEITEM, [row_count("count(*) BETWEEN 1000000 AND 5000000"), row_count("count(*) >= 1")]
     ),
@@ -786,7 +821,12 @@ ORACLE = {
     "taxi_validation": TRIP_RESULTS,
     "taxi_outliers": TRIP_OUTLIERS,
     "taxi_duplicates": TRIP_DUPLICATES,
-    "taxi_value_counts": value_counts(TRIPS, taxi.CATEGORIES),
+    "value_counts_signed_zero": value_counts(
+        f"(SELECT CASE WHEN zero = 0 THEN CAST(0 AS DOUBLE) ELSE zero END AS zero "
+        f"FROM {inputs.SIGNED.sql})",
+        ["zero"],
+    ),
+    "taxi_value_counts": value_counts(TRIPS, given.CATEGORIES),
     "taxi_health": f"SELECT 'trips' AS dataset, * FROM ({TRIP_HEALTH})",
     "findings": FINDINGS,
     "findings_text": FINDINGS_TEXT,
@@ -798,10 +838,14 @@ ORACLE = {
         f"FROM ({LINEITEM_RESULTS}) WHERE NOT passed"
     ),
     "saved_explanations": (
-        f"SELECT CAST(event_id AS VARCHAR) AS dataset, {_JSON} ->> '$.overall_assessment' "
-        f"AS overall_assessment, CASE WHEN good THEN NULL ELSE {quote(PARSE_ERROR)} END "
+        f"SELECT CAST(event_id AS VARCHAR) AS dataset, t AS answer, "
+        f"{_JSON} ->> '$.overall_assessment' "
+        f"AS overall_assessment, CASE WHEN good THEN NULL ELSE {quote(given.NOT_ONE_OBJECT)} END "
         f"AS parse_error, {ISSUE_COUNT} AS issue_count FROM ({ANSWERS})"
     ),
+    "run_times": (
+        "SELECT unnest([TIMESTAMP '2024-01-31 12:00:00', TIMESTAMP '2024-01-31 12:00:00']) AS run_at"
+    ),
     "latest_report": (
         "SELECT * FROM (SELECT * FROM "
         f"{inputs.HISTORY.sql} QUALIFY row_number() OVER (PARTITION BY dataset, kind "
@@ -811,6 +855,12 @@ ORACLE = {
         f"event_id, {_JSON} ->> '$.overall_assessment' AS overall_assessment", ANSWERS
     ),
     "parse_chats": _answer("conv_id, turn", parsed(inputs.CHATS.sql)),
-    "issues": _issues(),
+    "parse_mixed": (
+        "SELECT event_id, t AS answer, "
+        f"{_JSON} ->> '$.overall_assessment' AS overall_assessment, parse_error, "
+        f"CAST(len(found) AS INTEGER) AS issue_count FROM ({_mixed()})"
+    ),
+    "mixed_issues": MIXED_ISSUES,
+    "issues": ISSUES,
     "issue_counts": f"SELECT event_id, {ISSUE_COUNT} AS issue_count FROM ({ANSWERS})",
 }

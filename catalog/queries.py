@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 import tabvitals as tv
 from catalog import inputs
 from tabvitals.operators.expectations import Expectation
-from tabvitals.operators.measure import checkpoint_folder
 from tabvitals.operators.rules import (
     Rule,
     expected_year,
@@ -152,6 +151,20 @@ def key_duplicates(spark, folder):
     return tv.key_duplicates(inputs.EVENTS.frame(spark, folder), KEYS)
 
 
+def key_duplicates_absent(spark, folder):
+    """Keys that partly exist, and no keys at all."""
+    events = inputs.EVENTS.frame(spark, folder)
+    return tv.key_duplicates(events, ["event_type", "no_such_column"]).unionAll(
+        tv.key_duplicates(events, [])
+    )
+
+
+def shifted_duplicates(spark, folder):
+    """Rows that differ only in where a missing value stands."""
+    profile = tv.duplicate_profile(inputs.SHIFTED.frame(spark, folder), ["a"])
+    return _listed(profile, "key_columns_checked")
+
+
 # Outliers
 
 
@@ -167,6 +180,10 @@ def outlier_profile_events(spark, folder):
     return tv.outlier_profile(inputs.EVENTS.frame(spark, folder), ["value"])
 
 
+def outlier_profile_infinite(spark, folder):
+    return tv.outlier_profile(inputs.SIGNED.frame(spark, folder), ["endless"])
+
+
 def outlier_summary(spark, folder):
     return tv.outlier_summary(outlier_profile(spark, folder))
 
@@ -276,6 +293,10 @@ def value_counts(spark, folder):
     return tv.value_counts(_lineitem(spark, folder), columns)
 
 
+def value_counts_signed_zero(spark, folder):
+    return tv.value_counts(inputs.SIGNED.frame(spark, folder), ["zero"])
+
+
 # Taxi preset
 
 
@@ -320,6 +341,16 @@ def taxi_health(spark, folder):
 # Findings, reports, explanations
 
 
+def run_times(spark, folder):
+    """The times that a run with a given time puts on its sections."""
+    run = taxi_monitor(spark, folder)
+    profiled = run.profile.overview.select(F.col("profiled_at").cast("timestamp_ntz"))
+    validated = run.validation.validation_summary.select(
+        F.col("validated_at").cast("timestamp_ntz").alias("profiled_at")
+    )
+    return profiled.unionAll(validated).withColumnRenamed("profiled_at", "run_at")
+
+
 def findings(spark, folder):
     return taxi_monitor(spark, folder).findings()
 
@@ -329,7 +360,10 @@ def findings_text(spark, folder):
 
 
 def _report_folder(spark: SparkSession) -> str:
-    return f"{checkpoint_folder(spark).rstrip('/')}/reports-{uuid.uuid4()}"
+    """A new folder that all executors reach: below spark.checkpoint.dir, else the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
+    return f"{root.rstrip('/')}/reports-{uuid.uuid4()}"
 
 
 def saved_profile(spark, folder):
@@ -359,7 +393,7 @@ def saved_explanations(spark, folder):
     )
     tv.save_explanations(answers, path)
     loaded = tv.read_reports(spark, path, reports.EXPLANATIONS)
-    return tv.issue_counts(loaded, ["dataset", "overall_assessment", "parse_error"])
+    return tv.issue_counts(loaded, ["dataset", "answer", "overall_assessment", "parse_error"])
 
 
 def latest_findings_text(spark, folder):
@@ -383,6 +417,17 @@ def parse_chats(spark, folder):
     return parsed.select("conv_id", "turn", "raw_response", "parse_error")
 
 
+def parse_mixed(spark, folder):
+    """Answers whose explanations are no list, or a list with other things than objects."""
+    parsed = tv.parse_explanations(inputs.MIXED_ANSWERS.frame(spark, folder))
+    return tv.issue_counts(parsed, ["event_id", "answer", "overall_assessment", "parse_error"])
+
+
+def mixed_issues(spark, folder):
+    parsed = tv.parse_explanations(inputs.MIXED_ANSWERS.frame(spark, folder))
+    return tv.issues(parsed, ["event_id"])
+
+
 def issues(spark, folder):
     return tv.issues(tv.parse_explanations(inputs.ANSWERS.frame(spark, folder)), ["event_id"])
 
@@ -407,7 +452,10 @@ QUERIES = {
         duplicate_profile,
         duplicate_profile_clean,
         key_duplicates,
+        key_duplicates_absent,
+        shifted_duplicates,
         outlier_profile,
+        outlier_profile_infinite,
         outlier_profile_all_numeric,
         outlier_profile_events,
         outlier_summary,
@@ -430,12 +478,14 @@ QUERIES = {
         describe_timestamps,
         describe_event_times,
         value_counts,
+        value_counts_signed_zero,
         taxi_rules,
         taxi_validation,
         taxi_outliers,
         taxi_duplicates,
         taxi_value_counts,
         taxi_health,
+        run_times,
         findings,
         findings_text,
         saved_profile,
@@ -445,6 +495,8 @@ QUERIES = {
         latest_report,
         parse_explanations,
         parse_chats,
+        parse_mixed,
+        mixed_issues,
         issues,
         issue_counts,
     )
@@ -463,6 +515,7 @@ QUERIES = {
     "expect_in_set": _validated(
         lambda: tv.in_set("l_returnflag", ["A", "N"]), lambda: tv.in_set("l_linestatus", ["F", "O"])
     ),
+    "expect_in_set_with_none": _validated(lambda: tv.in_set("l_returnflag", ["A", None])),
     "expect_row_count": _validated(
         lambda: tv.row_count_between(1_000_000, 5_000_000), lambda: tv.row_count_between(1)
     ),

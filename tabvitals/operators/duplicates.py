@@ -6,22 +6,20 @@ from pyspark.sql import types as T
 
 from tabvitals.functions.grading import KEY_DUPLICATE_LIMIT
 from tabvitals.functions.numeric import column, normalise, percent, round_columns
-from tabvitals.operators.measure import ROWS, materialise, merge_rows
+from tabvitals.operators.measure import ROWS, merge_rows
 from tabvitals.operators.overview import names
 
-# Repeated fingerprints up to this number (80 MB) are broadcast.
-BROADCAST_LIMIT = 10_000_000
-
 
 def count_repeats(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row (repeats, rows) of grouping by `columns`, where NULL equals NULL.
 
     The grouping collapses copies before the shuffle, so a row copied a billion times reaches
-    the exchange once per task. Grouping by all columns moves the whole table, though:
+    the exchange once per task. Grouping by all columns would move the whole table, though:
     `full_duplicates` avoids that.
     """
     return (
-        df.groupBy(*[column(c) for c in columns])
+        _comparable(df.select(*[column(c) for c in columns]))
+        .groupBy(*[column(c) for c in columns])
         .agg(F.count(F.lit(1)).alias("copies"))
         .agg(
             F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("repeats"),
@@ -30,16 +28,6 @@ def count_repeats(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _holds(data_type: T.DataType, kinds: tuple) -> bool:
-    if isinstance(data_type, kinds):
-        return True
-    if isinstance(data_type, T.ArrayType):
-        return _holds(data_type.elementType, kinds)
-    if isinstance(data_type, T.StructType):
-        return any(_holds(f.dataType, kinds) for f in data_type.fields)
-    return False
-
-
 def _comparable(df: DataFrame) -> DataFrame:
     """VARIANT cannot be grouped by; its text can."""
     return df.select(
@@ -52,41 +40,65 @@ def _comparable(df: DataFrame) -> DataFrame:
     )
 
 
-def _fingerprint(df: DataFrame) -> Column:
-    """64-bit hash, equal for equal rows. Maps cannot be hashed and are left out of it."""
-    hashable = [column(f.name) for f in df.schema.fields if not _holds(f.dataType, (T.MapType,))]
-    return F.xxhash64(*hashable) if hashable else F.lit(0).cast("bigint")
+def _canonical(value: Column, data_type: T.DataType) -> Column:
+    """A struct whose hash tells apart what grouping tells apart.
+
+    Hashes skip missing values and the ends of lists, so both are marked. Maps become lists of
+    entries in the order of their keys. -0.0 and NaN hash as grouping compares them.
+    """
+    missing = value.isNull().alias("missing")
+    if isinstance(data_type, T.StructType):
+        parts = [_canonical(value[f.name], f.dataType) for f in data_type.fields]
+        return F.struct(missing, *[p.alias(f"f{i}") for i, p in enumerate(parts)])
+    if isinstance(data_type, T.ArrayType):
+        items = F.transform(value, lambda x: _canonical(x, data_type.elementType))
+        return F.struct(missing, F.size(value).alias("size"), items.alias("items"))
+    if isinstance(data_type, T.MapType):
+        keys = F.array_sort(F.map_keys(value))
+
+        def entry(key: Column) -> Column:
+            return F.struct(
+                _canonical(key, data_type.keyType).alias("key"),
+                _canonical(value[key], data_type.valueType).alias("value"),
+            )
+
+        return F.struct(
+            missing, F.size(value).alias("size"), F.transform(keys, entry).alias("items")
+        )
+    if isinstance(data_type, T.VariantType):
+        value = value.cast("string")
+    return F.struct(missing, value.alias("value"))
+
+
+def _digest(df: DataFrame) -> list[Column]:
+    """128 bits of each row: two hashes with seeds of their own, equal for equal rows."""
+    values = [_canonical(column(f.name), f.dataType) for f in df.schema.fields]
+    return [F.xxhash64(F.lit(seed), *values).alias(f"digest_{seed}") for seed in (1, 2)]
 
 
 def full_duplicates(df: DataFrame) -> DataFrame:
-    """One row (repeats) over all columns, without shuffling whole rows.
+    """One row (repeats) over all columns, in one scan and without shuffling whole rows.
 
-    Equal rows have equal fingerprints, so only rows with a repeated fingerprint can be
-    duplicates. A first scan groups 8-byte fingerprints, a second compares the full rows among
-    those. If too many fingerprints repeat to be broadcast, the full rows are grouped directly.
+    Rows are counted by a digest of 128 bits, so a row takes 24 bytes of the shuffle whatever its
+    width, and copies collapse before it. Among 10 ** 13 rows, the probability that any two
+    different ones have the same digest is below 10 ** -12.
     """
-    df = _comparable(df)
-    mark = "fingerprint"
-    while mark in (c.lower() for c in df.columns):
-        mark += "_"
-    marked = df.withColumn(mark, _fingerprint(df))
-    groups = marked.groupBy(mark).agg(F.count(F.lit(1)).alias("copies"))
-    found = materialise(groups.where("copies > 1").select(mark))
-    if found.count() > BROADCAST_LIMIT:
-        suspects = df
-    else:
-        suspects = marked.join(F.broadcast(found), mark, "left_semi")
-    return count_repeats(suspects, df.columns).select("repeats")
+    marked = df.select(*_digest(df))
+    return count_repeats(marked, marked.columns).select("repeats")
+
+
+def _key_repeats(df: DataFrame, key_columns: list[str]) -> DataFrame:
+    """One row (repeats, rows) by the key columns that exist; without any, nothing repeats."""
+    present = [c for c in key_columns if c in df.columns]
+    if present:
+        return count_repeats(df, present)
+    return df.agg(F.lit(0).cast("bigint").alias("repeats"), F.count(F.lit(1)).alias(ROWS))
 
 
 def duplicate_measures(df: DataFrame, key_columns: list[str]) -> DataFrame:
     """One row: full_repeats and key_repeats of a normalised table, and its row count."""
-    present = [c for c in key_columns if c in df.columns]
     full = full_duplicates(df).select(F.col("repeats").alias("full_repeats"))
-    if present:
-        keys = count_repeats(df, present).select(F.col("repeats").alias("key_repeats"), ROWS)
-    else:
-        keys = df.agg(F.lit(0).cast("bigint").alias("key_repeats"), F.count(F.lit(1)).alias(ROWS))
+    keys = _key_repeats(df, key_columns).withColumnRenamed("repeats", "key_repeats")
     return merge_rows([full, keys])
 
 
@@ -116,8 +128,11 @@ def duplicate_profile(df: DataFrame, key_columns: list[str]) -> DataFrame:
 
 
 def key_duplicates(df: DataFrame, key_columns: list[str]) -> DataFrame:
-    """One row: rows whose key occurred before, and their share of all rows."""
-    repeats = count_repeats(normalise(df), key_columns)
+    """One row: rows whose key occurred before, and their share of all rows.
+
+    Key columns that do not exist are left out; without any, no row counts as repeated.
+    """
+    repeats = _key_repeats(normalise(df), key_columns)
     shares = repeats.select(
         F.col("repeats").alias("key_column_dupes"), percent("repeats", ROWS).alias("key_dupe_pct")
     )

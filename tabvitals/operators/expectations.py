@@ -96,10 +96,9 @@ def between(name: str, min_value=None, max_value=None, mostly: float = 1.0, **me
 
 
 def in_set(name: str, value_set: Sequence, mostly: float = 1.0, **meta) -> Expectation:
-    """Shares are of the non-missing values."""
-    return Expectation(
-        IN_SET, name, unexpected=~column(name).isin(*value_set), mostly=mostly, **meta
-    )
+    """Shares are of the non-missing values, so a None in the set says nothing."""
+    values = [v for v in value_set if v is not None]
+    return Expectation(IN_SET, name, unexpected=~column(name).isin(*values), mostly=mostly, **meta)
 
 
 def expectation_aggregates(df: DataFrame, suite: Sequence[Expectation]) -> Aggregates:

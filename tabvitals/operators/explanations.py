@@ -20,17 +20,31 @@ FENCE = "```"
 FENCE_LANGUAGE = "json"
 
 PARSE_ERROR = "response is not one JSON object"
+LIST_ERROR = "explanations is not a list of objects"
 
 _ISSUE = ", ".join(f"`{name}`: string" for name in ISSUE_DEFAULTS)
-_ANSWERS = f"array<struct<explanations: array<struct<{_ISSUE}>>, overall_assessment: string>>"
+_ANSWERS = "array<struct<explanations: variant, overall_assessment: string>>"
 _OBJECT = "answer struct<overall_assessment: string>"
 
+# Each item is read on its own; one that is no object becomes NULL.
+_ITEMS = (
+    "transform(try_variant_get(parsed.explanations, '$', 'array<variant>'), "
+    f"i -> try_variant_get(i, '$', 'struct<{_ISSUE}>'))"
+)
+_REASON = (
+    f"CASE WHEN parsed IS NULL THEN '{PARSE_ERROR}' "
+    "WHEN parsed.explanations IS NULL OR is_variant_null(parsed.explanations) THEN NULL "
+    f"WHEN items IS NULL OR exists(items, i -> i IS NULL) THEN '{LIST_ERROR}' END"
+)
+
 
 def parse_explanations(df: DataFrame, response: str = "response") -> DataFrame:
-    """Add `explanations`, `overall_assessment`, `raw_response` and `parse_error`.
+    """Add `answer`, `explanations`, `overall_assessment`, `raw_response` and `parse_error`.
 
-    Only a response that is exactly one JSON object, fenced or not, is parsed; for any other
-    the last two columns hold its text and the reason.
+    `answer` is the text without its fence, with all fields. Only a response that is exactly one
+    JSON object, fenced or not, is parsed; for any other the last two columns hold its text and
+    the reason. Items of `explanations` that are no objects are left out; then, and if it is no
+    list at all, `parse_error` says so.
     """
     text = F.col("raw_response")
     inner = F.regexp_replace(F.get(F.split(text, FENCE), F.lit(1)), f"^{FENCE_LANGUAGE}", "")
@@ -45,12 +59,14 @@ def parse_explanations(df: DataFrame, response: str = "response") -> DataFrame:
         .withColumn("raw_response", F.when(text.startswith(FENCE), strip(inner)).otherwise(text))
         .withColumn("answers", in_list)
         .withColumn("object", in_object)
-        .withColumn("answer", F.expr(f"IF({is_one}, answers[0], NULL)"))
-        .withColumn("explanations", F.col("answer.explanations"))
-        .withColumn("overall_assessment", F.col("answer.overall_assessment"))
-        .withColumn("parse_error", F.when(F.col("answer").isNull(), PARSE_ERROR))
-        .withColumn("raw_response", F.when(F.col("answer").isNull(), text))
-        .drop("answers", "object", "answer")
+        .withColumn("parsed", F.expr(f"IF({is_one}, answers[0], NULL)"))
+        .withColumn("items", F.expr(_ITEMS))
+        .withColumn("explanations", F.expr("filter(items, i -> i IS NOT NULL)"))
+        .withColumn("overall_assessment", F.col("parsed.overall_assessment"))
+        .withColumn("parse_error", F.expr(_REASON))
+        .withColumn("answer", text)
+        .withColumn("raw_response", F.when(F.col("parsed").isNull(), text))
+        .drop("answers", "object", "parsed", "items")
     )
 
 

@@ -105,6 +105,12 @@ def _moment(micros: str) -> str:
     return f"timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, {seconds})"
 
 
+def _shown(df: DataFrame, name: str) -> str:
+    """-0.0 counts as 0.0, which it equals; as text they differ."""
+    kind = df.schema[name].dataType.simpleString()
+    return f"{quoted(name)} + CAST(0 AS {kind})" if kind in ("float", "double") else quoted(name)
+
+
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """A row per column and value, missing values included, most frequent first.
 
@@ -117,7 +123,7 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
         schema = "column_name string, value string, count bigint"
         return df.sparkSession.createDataFrame([], schema)
     entries = ", ".join(
-        f"{i}, {literal(c)}, CAST({quoted(c)} AS STRING)" for i, c in enumerate(present)
+        f"{i}, {literal(c)}, CAST({_shown(df, c)} AS STRING)" for i, c in enumerate(present)
     )
     return (
         df.selectExpr(f"stack({len(present)}, {entries}) AS (ordinal, column_name, value)")

@@ -1,5 +1,7 @@
 """Outliers by the interquartile-range method."""
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +30,16 @@ def fences(df: DataFrame, columns: list[str]) -> dict[str, dict[str, float | Non
             result[name] = dict.fromkeys(("q1", "q3", "iqr", "lower_fence", "upper_fence"))
             continue
         iqr = q3 - q1
-        result[name] = {
+        limits = {
             "q1": q1,
             "q3": q3,
             "iqr": iqr,
             "lower_fence": q1 - FENCE_FACTOR * iqr,
             "upper_fence": q3 + FENCE_FACTOR * iqr,
         }
+        # Infinite quartiles have no range. Like any missing number, the fences are then NULL, and
+        # no value lies outside them.
+        result[name] = {k: None if math.isnan(v) else v for k, v in limits.items()}
     return result
 
 

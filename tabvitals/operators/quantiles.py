@@ -3,20 +3,22 @@
 Sorting, or Spark's `percentile`, ends with all distinct values of a column in one task. Here
 the wanted ranks are narrowed down by counting. The first scan counts values by sign and
 magnitude. Each further scan cuts the buckets that hold a wanted rank into finer ones, from
-the smallest to the largest value seen in them, until few rows are left in them to be told
-apart by value. A rank is found once its bucket holds one distinct value.
+the smallest to the largest value seen in them. A bucket is cut into `_BINS` ranges or, if it
+has no more rows than that, into its values. A rank is found once its bucket holds one value.
 
 Every scan reads only the columns still open and shuffles only counts, at most one per bucket
-and task. Buckets of one column are put in order in one task; there are at most some 70,000 by
-magnitude, `_BINS` per range, or `_FEW_ROWS` values.
+and task. Buckets of one column are put in order in one task: some 70,000 by magnitude, and
+`_BINS` in any other.
 """
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tabvitals.functions.numeric import number, quoted
 
@@ -26,13 +28,13 @@ _MAGNITUDE = (
     "CASE WHEN value = 0 THEN 0D "
     "ELSE signum(value) * (40000D + floor(ln(abs(value)) * 46.16624130844683D)) END"
 )
-_BINS = 4_096
+_BINS = 65_536
 _SHARE = f"least(floor((value - low) / (high - low) * {_BINS}), {_BINS - 1}D)"
-_FEW_ROWS = 1_000_000
 
 # Columns handled by one job, and what one scan within it unfolds. The latter keeps the
 # generated code small enough for the JVM to compile (8000 bytes; 24 ranges take 6800).
 _COLUMNS_PER_JOB = 32
+_JOBS = 4
 _ENTRIES_PER_SCAN = 24
 
 
@@ -58,11 +60,17 @@ def exact_quantiles(
     Values are compared as doubles, without NaN. What reaches the driver is one bucket per
     wanted rank.
     """
-    result = {}
-    for i in range(0, len(columns), _COLUMNS_PER_JOB):
-        part = columns[i : i + _COLUMNS_PER_JOB]
+
+    def narrowed(part: list[str]) -> dict[str, list[float | None]]:
         values = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS {quoted(c)}" for c in part])
-        result |= _quantiles_together(values, part, probabilities)
+        return _quantiles_together(values, part, probabilities)
+
+    parts = [columns[i : i + _COLUMNS_PER_JOB] for i in range(0, len(columns), _COLUMNS_PER_JOB)]
+    result = {}
+    # Blocks of columns need nothing of each other, and each leaves executors idle between scans.
+    with ThreadPoolExecutor(_JOBS) as pool:
+        for found in pool.map(inheritable_thread_target(df.sparkSession)(narrowed), parts):
+            result |= found
     return result
 
 
@@ -146,19 +154,21 @@ def _magnitude_buckets(df, columns, probabilities):
 
 def _finer_buckets(df, unresolved, ranks):
     """The finer buckets inside `unresolved` that hold a wanted rank."""
-    few = sum(b.rows for b in unresolved) <= _FEW_ROWS
     entries = []
     for slot, b in enumerate(unresolved):
         name, low, high = quoted(b.name), number(b.low), number(b.high)
-        entries.append(f"{slot}, IF({name} BETWEEN {low} AND {high}, {name}, NULL), {low}, {high}")
+        entries.append(
+            f"{slot}, IF({name} BETWEEN {low} AND {high}, {name}, NULL), {low}, {high}, "
+            f"{b.rows <= _BINS}"
+        )
     # Rows without any such value are not filtered out first: for a filter on many computed
     # columns, the optimizer derives a number of constraints exponential in the columns.
-    values = _unfolded(df, entries, "slot, value, low, high")
+    values = _unfolded(df, entries, "slot, value, low, high, by_value")
     wanted = [
         f"(slot = {slot} AND ({_holding([str(r - b.before) for r in ranks[b.name] if b.holds(r)])}))"
         for slot, b in enumerate(unresolved)
     ]
-    counted = _counted(values, "value" if few else _SHARE)
+    counted = _counted(values, f"IF(by_value, value, {_SHARE})")
     rows = counted.where(" OR ".join(wanted)).collect()
     return [
         _Bucket(

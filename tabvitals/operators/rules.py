@@ -3,6 +3,7 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,8 +91,19 @@ def _on(names: str | tuple[str, ...], violation: Column, text: str, **given) ->
 
 
 def applicable(df: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
+    """The rules whose columns the table has, also those that a violation names only itself."""
     present = set(df.columns)
-    return [r for r in rules if present.issuperset(r.requires)]
+    return [r for r in rules if present.issuperset(r.requires) and (r.requires or _fits(df, r))]
+
+
+def _fits(df: DataFrame, rule: Rule) -> bool:
+    try:
+        df.select(rule.violation)
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            raise
+        return False
+    return True
 
 
 def rule_aggregates(df: DataFrame, rules: Sequence[Rule]) -> Aggregates:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tabvitals.operators.expectations import Expectation
 from tabvitals.operators.explanations import parse_explanations
 from tabvitals.operators.findings import findings, findings_text
-from tabvitals.operators.measure import materialise
 from tabvitals.plans.profile import (
     Profile,
     Validation,
@@ -108,8 +107,8 @@ def report_sections(profiles: DataFrame, validations: DataFrame) -> dict[str, Da
 
 def latest_findings_text(spark: SparkSession, path: str) -> DataFrame:
     """The findings text of every dataset, from its newest saved reports."""
-    profiles = materialise(load_latest_reports(spark, path, PROFILE))
-    validations = materialise(load_latest_reports(spark, path, VALIDATION))
+    profiles = load_latest_reports(spark, path, PROFILE)
+    validations = load_latest_reports(spark, path, VALIDATION)
     return findings_text(report_sections(profiles, validations))
 
 

@@ -52,7 +52,8 @@ SCHEMAS = {
     ),
     EXPLANATIONS: (
         "dataset string, run_ts timestamp, raw_response string, "
-        f"explanations array<{_ISSUE}>, overall_assessment string, parse_error string"
+        f"explanations array<{_ISSUE}>, overall_assessment string, parse_error string, "
+        "answer string"
     ),
 }
 
@@ -68,16 +69,20 @@ def save_report(report: DataFrame, path: str, kind: str) -> None:
     )
 
 
-def read_reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """All reports of a kind; fails if there are none."""
+def _reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
     try:
         # The kind is a partition, so only its files are read.
         schema = f"{SCHEMAS[kind]}, kind string"
-        reports = spark.read.schema(schema).json(path).where(F.col("kind") == kind)
+        return spark.read.schema(schema).json(path).where(F.col("kind") == kind)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise FileNotFoundError(f"no {kind} report in {path}") from error
+
+
+def read_reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """All reports of a kind; fails if there are none."""
+    reports = _reports(spark, path, kind)
     if reports.isEmpty():
         raise FileNotFoundError(f"no {kind} report in {path}")
     return reports
@@ -88,12 +93,17 @@ def latest(
 ) -> DataFrame:
     """The newest row of every group; the greatest row wins among equally new ones.
 
-    `max_by` keeps one row per group and task before the shuffle, so a dataset with most of
-    the reports costs no more than any other.
+    The newest time of each group is found first, from the grouping columns and times alone, with
+    one row per group and task in the shuffle. Only rows of these times are then compared whole.
     """
     others = [c for c in reports.columns if c not in by]
-    newest = F.max_by(F.struct(*others), F.struct(at, *[c for c in others if c != at]))
-    return reports.groupBy(*by).agg(newest.alias("newest")).select(*by, "newest.*")
+    times = reports.groupBy(*by).agg(F.max(at).alias(at))
+    times = times.toDF(*[f"newest {c}" for c in times.columns])
+    matching = [F.col(f"`{c}`").eqNullSafe(F.col(f"`newest {c}`")) for c in (*by, at)]
+    recent = reports.join(times, matching, "left_semi")
+    greatest = F.max(F.struct(at, *[c for c in others if c != at]))
+    newest = recent.groupBy(*by).agg(greatest.alias("newest"))
+    return newest.select(*by, *[f"newest.{c}" for c in others])
 
 
 def load_latest_reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -103,7 +113,7 @@ def load_latest_reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 def load_latest_report(spark: SparkSession, path: str, kind: str, dataset: str) -> DataFrame:
     """The newest report of a kind about one dataset; fails if there is none."""
-    reports = read_reports(spark, path, kind).where(F.col("dataset") == dataset)
+    reports = _reports(spark, path, kind).where(F.col("dataset") == dataset)
     if reports.isEmpty():
         raise FileNotFoundError(f"no {kind} report about {dataset} in {path}")
     return latest(reports)

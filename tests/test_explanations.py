@@ -1,7 +1,7 @@
 import pytest
 
 import tabvitals as tv
-from tabvitals.operators.explanations import PARSE_ERROR
+from tabvitals.operators.explanations import LIST_ERROR, PARSE_ERROR
 
 GOOD = '{"explanations": [{"issue": "a", "violation_count": 3}], "overall_assessment": "fine"}'
 
@@ -56,6 +56,28 @@ def test_rejected(parsed):
     assert tv.issues(parsed(*responses), ["id"]).count() == 0
 
 
+def test_good_issues_of_bad_lists(parsed):
+    responses = [
+        '{"explanations":[{"issue":"a"},"oops",null,3,{"issue":"b"}],"overall_assessment":"x"}',
+        '{"explanations":"none","overall_assessment":"x"}',
+        '{"explanations":{"issue":"a"},"overall_assessment":"x"}',
+        '{"explanations":null,"overall_assessment":"x"}',
+        '{"overall_assessment":"x"}',
+        '{"explanations":[],"overall_assessment":"x"}',
+    ]
+    rows = parsed(*responses).orderBy("id").collect()
+    assert [r.parse_error for r in rows] == [LIST_ERROR] * 3 + [None] * 3
+    assert {r.overall_assessment for r in rows} == {"x"}
+    found = tv.issues(parsed(*responses), ["id"]).orderBy("id", "position").collect()
+    assert [(r.id, r.issue) for r in found] == [(0, "a"), (0, "b")]
+
+
+def test_answers_are_kept_whole(parsed):
+    response = '{"notes": [1, {"x": 2}], "explanations": [{"issue": "a", "extra": true}]}'
+    rows = parsed(response, f"```json\n{response}\n```").collect()
+    assert [(r.answer, r.raw_response, r.parse_error) for r in rows] == [(response, None, None)] * 2
+
+
 def test_defaults_of_missing_fields(parsed):
     response = (
         '{"explanations": [{"what_happened": "w"}, {"issue": "i", "column": "c", '

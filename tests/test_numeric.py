@@ -76,11 +76,12 @@ def _columns(seed):
     return pd.DataFrame(columns)
 
 
-@pytest.mark.parametrize("few", [1_000_000, 20, 0])
-def test_exact_quantiles_equal_sorting(spark, monkeypatch, few):
-    """Also when values are never few enough to be told apart one by one."""
-    monkeypatch.setattr(quantiles, "_FEW_ROWS", few)
-    frame = _columns(few)
+@pytest.mark.parametrize("bins", [65_536, 20, 2])
+def test_exact_quantiles_equal_sorting(spark, monkeypatch, bins):
+    """Also when values are hardly ever few enough to be told apart one by one."""
+    monkeypatch.setattr(quantiles, "_BINS", bins)
+    monkeypatch.setattr(quantiles, "_SHARE", quantiles._SHARE.replace("65536", str(bins)).replace("65535", str(bins - 1)))
+    frame = _columns(bins)
     probabilities = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
     df = spark.createDataFrame(frame).repartition(3)
     actual = quantiles.exact_quantiles(df, list(frame.columns), probabilities)

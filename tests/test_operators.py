@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import tabvitals as tv
 from tabvitals.functions import grading
-from tabvitals.operators import duplicates, measure
+from tabvitals.operators import measure
 from tabvitals.operators.rules import (
     Rule,
     expected_year,
@@ -255,10 +255,59 @@ def test_variant_rows_can_repeat(spark):
     assert one(tv.duplicate_profile(df, ["missing"])).full_duplicates == 3
 
 
-@pytest.mark.parametrize("limit", [duplicates.BROADCAST_LIMIT, 1])
-def test_hot_duplicates(spark, monkeypatch, limit):
-    """A third of the rows are copies of one; the same count whether or not it is broadcast."""
-    monkeypatch.setattr(duplicates, "BROADCAST_LIMIT", limit)
+@pytest.mark.parametrize(
+    "rows, different",
+    [
+        ("(1, NULL), (NULL, 1), (1, 1), (NULL, NULL)", 4),
+        ("(array(1, NULL), 1), (array(NULL, 1), 1), (array(1), 1), (array(), 1), (NULL, 1)", 5),
+        ("(array(array(1), array(2)), 1), (array(array(1, 2)), 1), (array(array(1, 2), array()), 1)", 3),
+        ("(struct(1, CAST(NULL AS INT)), 1), (struct(NULL, 1), 1), (NULL, 1)", 3),
+        ("(CAST('-0.0' AS DOUBLE), 1), (0D, 1)", 1),
+        ("(array(CAST('NaN' AS DOUBLE)), 1), (array(CAST('NaN' AS DOUBLE)), 1), (array(0D), 1), "
+         "(array(CAST('-0.0' AS DOUBLE)), 1)", 2),
+        ("(map('a', 1, 'b', 2), 1), (map('b', 2, 'a', 1), 1), (map('a', 2, 'b', 1), 1)", 2),
+        ("(map('a', NULL), 1), (map('b', NULL), 1), (map(), 1), (NULL, 1)", 4),
+        ("(parse_json('{\"a\": 1}'), 1), (parse_json('{\"a\": 1}'), 1), (parse_json('null'), 1)", 2),
+        ("(struct(array(map(1, 'x'))), 1), (struct(array(map(1, 'x'))), 1), (struct(array(map(2, 'x'))), 1)", 2),
+    ],
+)
+def test_what_makes_rows_equal(spark, rows, different):
+    df = spark.sql(f"SELECT * FROM VALUES {rows} AS t(a, b)")
+    assert one(tv.duplicate_profile(df, [])).full_duplicates == df.count() - different
+
+
+def test_keys_that_do_not_exist(spark):
+    df = spark.range(5).selectExpr("1 AS a", """parse_json('{"a": 1}') AS v""")
+    assert [one(tv.key_duplicates(df, k)).key_column_dupes for k in ([], ["x"], ["a", "x"], ["v"])] == [0, 0, 4, 4]
+    assert one(tv.key_duplicates(df.limit(0), ["a"])).key_column_dupes == 0
+
+
+def test_infinite_quartiles_have_no_outliers(spark):
+    df = spark.sql("SELECT * FROM VALUES (DOUBLE('inf')), (DOUBLE('inf')), (DOUBLE('inf')), (1D) AS t(a)")
+    row = one(tv.outlier_profile(df, ["a"]))
+    assert (row.iqr, row.lower_fence, row.total_outliers, row.severity) == (None, None, 0, "ok")
+
+
+def test_zeros_are_one_value(spark):
+    df = spark.sql("SELECT * FROM VALUES (-0D), (0D), (double('-0.0')), (NULL) AS t(a)")
+    rows = {r.value: r["count"] for r in tv.value_counts(df, ["a"]).collect()}
+    assert rows == {"0.0": 3, None: 1}
+
+
+def test_none_in_a_set_says_nothing(spark):
+    df = spark.sql("SELECT * FROM VALUES (0), (1), (2), (NULL) AS t(k)")
+    for values in ([0], [0, None]):
+        assert one(tv.validate(df, [tv.in_set("k", values)])).violation_count == 2
+
+
+def test_rules_without_requires_on_other_tables(spark):
+    df = spark.range(3).selectExpr("id AS a")
+    rules = [Rule("x", "x", "x > 0", F.col("x") <= 0), Rule("a", "a", "a > 0", F.col("a") <= 0)]
+    assert [r.rule_name for r in tv.rule_profile(df, rules).collect()] == ["a"]
+
+
+def test_hot_duplicates(spark):
+    """A third of the rows are copies of one."""
     df = spark.range(9000).selectExpr(
         "IF(id % 3 = 0, 0, id) AS a", "IF(id % 3 = 0, 'x', CAST(id % 100 AS STRING)) AS fingerprint"
     )
