@@ -5,10 +5,11 @@ host, are its frequency; lines above the ratio go from all pages of that host. L
 without surrounding spaces; lines of spaces only are neither counted nor dropped.
 
 Plan: pages give two 64-bit hashes for each different line, which are counted by host with partial
-aggregates, so neither a hot host nor a line that all pages have meets in one task, and no text is
-shuffled. A host has at most `lines of a page on average / ratio` lines above the ratio, so they
-fit in one array a host; the join of pages with these few rows is Spark's to plan, broadcast or
-split where a host is hot.
+aggregates, so neither a hot host nor a line that all pages have meets in one task. A host has at
+most `lines of a page on average / ratio` lines above the ratio, so they fit in one array a host.
+These arrays, a row for each host with such lines, are written first; Spark then knows their size
+when it plans the join with the pages. It broadcasts them while they are small, so that no text is
+shuffled, and else shuffles and splits hot hosts.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabvitals.llm.common import fresh
+from tabvitals.llm.common import fresh, written
 
 RATIO = 0.1
 #: A host with two pages that share a line says nothing about its frequency.
@@ -63,7 +64,7 @@ def _cut(
 ) -> tuple[DataFrame, str]:
     """The pages with the lines that are left (null for a null text), and that column's name."""
     key, bad = fresh(pages, "host_key"), fresh(pages, "bad")
-    lists = boilerplate(pages, host, text, ratio, min_pages)
+    lists = written(boilerplate(pages, host, text, ratio, min_pages), "boilerplate")
     lists = lists.select(F.col("host_key").alias(key), F.col("bad").alias(bad))
     joined = pages.withColumn(key, _host(F.col(f"`{host}`"))).join(lists, key, "left")
     lines = _lines(F.col(f"`{text}`"))
