@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 #: Fixed value: how the vocabulary's texts are cut into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT_WORDS = 1_000_000  # of a worker; more than that, and it starts anew
+KEPT_WORDS = 500_000  # of a worker, some 150 MB; more than that, and it starts anew
 
 
 def _byte_letters() -> dict[str, int]:
@@ -207,7 +207,7 @@ def _coder(shared) -> Coder:
 
 
 #: Texts are worked on in runs of about so many characters, which bounds a worker's memory.
-_RUN = 4_000_000
+_RUN = 2_000_000
 
 
 def _runs(texts: pa.Array) -> Iterator[list[str | None]]:
