@@ -340,7 +340,9 @@ class Model:
         d = np.append(self.bigram_discounts, 1.0)[np.minimum(counts, CUTOFF + 1)]
         return d * counts / (contexts + 1)
 
-    def log_weights(self, ranks: np.ndarray, word_ranks: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    def log_weights(
+        self, ranks: np.ndarray, word_ranks: np.ndarray, rest: np.ndarray
+    ) -> np.ndarray:
         """log10 of alpha(h) * (c(h) + 1), from what is known of h's bigrams.
 
         ranks: how many have counts 1 to CUTOFF; word_ranks: of how many has the second word such

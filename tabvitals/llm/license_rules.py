@@ -355,7 +355,8 @@ def rules() -> list[Rule]:
             out.append(_rule(f"address-{label}", label, address, [site], 30, 0.9))
         granted = rf"{_GRANT}(?:{name}){_AFTER}"
         words = _literals(name)
-        out.append(_rule(f"grant-{label}", label, granted, [frozenset([" under "]), words], 20, 0.85))
+        keys = [frozenset([" under "]), words]
+        out.append(_rule(f"grant-{label}", label, granted, keys, 20, 0.85))
         called = rf"(?:{name}) licen[cs]e|licen[cs]e (?:is )?(?:the )?(?:{name})"
         out.append(_rule(f"name-{label}", label, called, [licen, words], 10, 0.7))
     return out

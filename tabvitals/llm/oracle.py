@@ -95,7 +95,8 @@ WITH d AS (
 ),
 hosts AS (SELECT source, count(*) AS n FROM d GROUP BY source),
 seen AS (
-  SELECT r, source, unnest(list_distinct(list_transform(parts, lambda x: trim(x, ' ')))) AS line FROM d
+  SELECT r, source, unnest(list_distinct(list_transform(parts, lambda x: trim(x, ' ')))) AS line
+  FROM d
 ),
 bad AS (
   SELECT s.source, s.line

@@ -199,7 +199,10 @@ def _record(row: dict, date: str) -> bytes:
         ("X-Payload-Length", str(row["n_bytes"])),
     ]
     if segmented:
-        head += [("WARC-Segment-Number", str(number + 1)), ("X-Digest-So-Far", row["digest_so_far"])]
+        head += [
+            ("WARC-Segment-Number", str(number + 1)),
+            ("X-Digest-So-Far", row["digest_so_far"]),
+        ]
         if number:
             head.append(("WARC-Segment-Origin-ID", page))
         if row["is_last"]:
