@@ -42,6 +42,88 @@ SELECT page_id, url, payload_bytes, payload_digest,
 FROM o
 """
 
+def _either_case(words: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.islower() else c for c in words)
+
+
+_ASSIGN = (
+    f"({_either_case('password|passwd|secret|token|api_?key')})"
+    r"""["'']? *[:=] *["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+_CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Candidates that are no secrets: numbers, names, identifiers, placeholders, repeated letters.
+_PASSED_OVER = "|".join(
+    [
+        "^[0-9+/_=-]+$",
+        "^[A-Za-z+/_=-]+$",
+        "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
+        "^[A-Za-z]+[0-9]{0,4}([-_/=+][A-Za-z]*[0-9]{0,4})*$",
+        _either_case("example|sample|dummy|placeholder|changeme|xxxx|abcdefgh"),
+        f"{_either_case('your')}[-_]?({_either_case('key|token|secret')})|0123456789",
+        *[f"[{c}{c.upper()}]{{8}}" if c.isalnum() else f"[{c}]{{8}}" for c in _LETTERS[26:]],
+    ]
+)
+
+
+def _found(kind: int, pattern: str, group: int) -> str:
+    return (
+        f"SELECT r, {kind} AS kind, string_split_regex(t, '{pattern}') AS gaps, "
+        f"regexp_extract_all(t, '{pattern}') AS hits, "
+        f"regexp_extract_all(t, '{pattern}', {group}) AS parts FROM d"
+    )
+
+
+OP7 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS (
+  {_found(0, _ASSIGN, 2)} UNION ALL {_found(1, "AKIA[A-Z0-9]+", 0)}
+  UNION ALL {_found(2, "[0-9a-f]{24,}", 0)} UNION ALL {_found(3, _CANDIDATE, 0)}
+),
+p AS (
+  SELECT r, kind, unnest(list_transform(range(1, len(hits) + 1), lambda i: {{
+    'at': CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+      + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS BIGINT),
+    'hit': hits[i], 'part': parts[i]}})) AS x
+  FROM m
+),
+s AS (SELECT r, kind, x.at AS a, x.at + length(x.hit) AS z, x.hit AS hit, x.part AS part FROM p),
+base AS (SELECT r, kind, a, z FROM s WHERE kind < 3 AND length(part) >= [6, 20, 24][kind + 1]),
+c AS (
+  SELECT r, a, hit, regexp_matches(hit, '^[0-9a-fA-F]+$') AS is_hex
+  FROM s WHERE kind = 3 AND NOT regexp_matches(hit, '{_PASSED_OVER}')
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = s.r AND b.a < s.z AND s.a < b.z)
+),
+w AS (SELECT *, unnest(range(length(hit) - 19)) AS i FROM c),
+e AS (
+  SELECT *, string_split(substr(hit, CAST(i AS INTEGER) + 1, 20), '') AS letters FROM w
+),
+h AS (
+  SELECT r, a, is_hex, i, -list_sum(list_transform(list_distinct(letters), lambda l:
+    len(list_filter(letters, lambda y: y = l)) / 20
+    * log2(len(list_filter(letters, lambda y: y = l)) / 20))) AS bits FROM e
+),
+added AS (
+  SELECT r, CASE WHEN is_hex THEN 3 ELSE 4 END AS kind, a + min(i) AS a, a + max(i) + 20 AS z
+  FROM h WHERE bits >= CASE WHEN is_hex THEN 3.05 ELSE 3.75 END GROUP BY r, a, is_hex
+),
+everything AS (SELECT * FROM base UNION ALL SELECT * FROM added),
+lists AS (
+  SELECT r, CAST(count_if(kind = 0) AS BIGINT) AS n_assign,
+    CAST(count_if(kind = 1) AS BIGINT) AS n_access,
+    CAST(count_if(kind = 2) AS BIGINT) AS n_hex,
+    string_agg(['assign', 'access', 'hex', 'entropy_hex', 'entropy_mixed'][kind + 1]
+      || ':' || a || ':' || z, ',' ORDER BY a, kind) AS spans,
+    coalesce(string_agg(['assign', 'access', 'hex'][kind + 1] || ':' || a || ':' || z, ','
+      ORDER BY a, kind) FILTER (kind < 3), '') AS base
+  FROM everything GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM d LEFT JOIN lists USING (r)
+"""
+
 OP8 = f"""
 WITH t AS (SELECT CAST([{",".join(map(str, _SLOTS))}] AS INTEGER[]) AS slots),
 p AS (
@@ -118,6 +200,7 @@ FROM cut
 
 ORACLE = {
     "op4_warc": OP4,
+    "op7_secrets": OP7,
     "op8_sharding": OP8,
     "op9_near_duplicates": OP9,
     "op10_line_dedup": OP10,
