@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +31,7 @@ def spaced_words(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words, kept up to a bound: a look-up for known words."""
 
-    MOST = 1_000_000
+    MOST = 400_000  # some 80 MB of a worker
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:
@@ -95,18 +93,6 @@ def fresh(frame: DataFrame, name: str) -> str:
     return name
 
 
-def mapped(
-    frame: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
-) -> DataFrame:
-    """`mapInArrow` with a function of one batch."""
-
-    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            yield function(batch)
-
-    return frame.mapInArrow(batches, schema)
-
-
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 

@@ -115,7 +115,7 @@ def classes(sketches: DataFrame) -> DataFrame:
 
 
 def members(nodes: DataFrame) -> DataFrame:
-    """Written: the classes of each bucket that has several, with n_shingles and the bucket's size."""
+    """Written: the classes of each bucket that has several, and the bucket's size."""
     rows = nodes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     return written(rows.join(sizes, "bucket"), "members")
@@ -171,7 +171,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
 
 def rest(
-    found: DataFrame, nodes: DataFrame, texts: DataFrame, labels: DataFrame, width: int, percent: int
+    found: DataFrame,
+    nodes: DataFrame,
+    texts: DataFrame,
+    labels: DataFrame,
+    width: int,
+    percent: int,
 ) -> DataFrame:
     """Written: links (a, b) between components, from buckets whose members are in several."""
     labelled = found.join(labels, "node", "left").withColumn(
