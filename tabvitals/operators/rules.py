@@ -166,4 +166,5 @@ def failed_rules(profile: DataFrame) -> DataFrame:
 
 def violation_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """A row per applicable rule with its number of violations only, as in exploration."""
-    return rule_profile(df, rules).select("ordinal", F.col("rule_name").alias("check"), "violations")
+    profile = rule_profile(df, rules)
+    return profile.select("ordinal", F.col("rule_name").alias("check"), "violations")

@@ -17,10 +17,9 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if session.sparkContext.getCheckpointDir() is None:
-        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
