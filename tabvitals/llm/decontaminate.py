@@ -12,7 +12,11 @@ output is sampled at a few steps several times; a window whose sample equals tha
 its size is a candidate. With `WALKS * SAMPLES` tries, over 99 % of the windows at the largest
 distance become candidates (measured in the tests). Candidates are verified by their edit distance.
 
-Windows have the size of items. They are opened where a run of up to three words stands in both:
+That holds for few edits only, so an item of more than `PIECE` words is embedded in pieces of about
+equal size. The limits of the pieces add up to no less than that of the item, so in every match
+some piece is within its own. What becomes a candidate by a piece is verified as a whole item.
+
+Windows have the size of pieces. They are opened where a run of up to three words stands in both:
 n words with k edits keep a run of `(n - k) / (k + 1)` words, so every match has such a place.
 
 Plan: one pass over the documents in Arrow batches, without shuffle. Items are the stated query
@@ -24,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -35,6 +40,7 @@ from tabvitals.llm.common import WordHashes, mixed, plain_words, shingle_hashes
 
 EDITS = 0.2  # of the words of an item
 WALKS, SAMPLES, STEPS = 12, 12, 4  # walks, samples of each, steps in a sample
+PIECE = 60  # words that are embedded together, at most
 BLOCK_WORDS = 2_000_000  # of items: 16 MB of hashes
 _SEED_WORDS = 3
 _PAD = np.uint64(0)
@@ -44,8 +50,17 @@ def most_edits(n_words: int) -> int:
     return int(EDITS * n_words)
 
 
+def pieces(n_words: int) -> list[tuple[int, int]]:
+    """The first word and the size of each piece of an item; together they are the item.
+
+    A match in which every piece has more than `EDITS` of its size has more than that of them all.
+    """
+    n = -(-n_words // PIECE)
+    return [(a, b - a) for a, b in pairwise(i * n_words // n for i in range(n + 1))]
+
+
 def seed_words(n_words: int) -> int:
-    """How many words in a row every match of an item of this length shares with it, up to 3."""
+    """How many words in a row every match of a piece of this length shares with it, up to 3."""
     k = most_edits(n_words)
     return min(_SEED_WORDS, -(-(n_words - k) // (k + 1)))
 
@@ -106,18 +121,20 @@ def least_edits(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
 
 @dataclass(frozen=True)
 class Buckets:
-    """The items of each bucket of one sample."""
+    """The pieces of each bucket of one sample."""
 
     keys: np.ndarray
-    items: dict[int, list[int]]
+    pieces: dict[int, list[int]]
 
 
 @dataclass(frozen=True)
 class Index:
-    """A block of items: their words, the places of their seeds, and their buckets."""
+    """A block of items: their words and pieces (item, first word, size), and of these the places
+    of their seeds, and their buckets."""
 
     ids: list
     items: list[np.ndarray]
+    pieces: list[tuple[int, int, int]]
     seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     buckets: list[Buckets]
 
@@ -136,11 +153,13 @@ def indexed(block: list[tuple[object, str | None]]) -> Index:
     pairs = [(i, hashes.of(plain_words(text))) for i, text in block]
     pairs = [(i, words) for i, words in pairs if len(words)]
     items = [words for _, words in pairs]
+    parts = [(n, a, size) for n, words in enumerate(items) for a, size in pieces(len(words))]
+    texts = [items[n][a : a + size] for n, a, size in parts]
     seeds = {}
     for q in range(1, _SEED_WORDS + 1):
         found = [
             (seed, at, n)
-            for n, words in enumerate(items)
+            for n, words in enumerate(texts)
             if seed_words(len(words)) == q
             for at, seed in enumerate(shingle_hashes(words, q).tolist())
         ]
@@ -153,16 +172,16 @@ def indexed(block: list[tuple[object, str | None]]) -> Index:
             seeds[q] = (known, seed, at, n)
     maps = []
     if items:
-        for keys in buckets(*_table(items)):
+        for keys in buckets(*_table(texts)):
             table: dict[int, list[int]] = {}
             for n, key in enumerate(keys.tolist()):
                 table.setdefault(key, []).append(n)
             maps.append(Buckets(np.unique(keys), table))
-    return Index([i for i, _ in pairs], items, seeds, maps)
+    return Index([i for i, _ in pairs], items, parts, seeds, maps)
 
 
 def _windows(index: Index, words: np.ndarray) -> list[tuple[int, int]]:
-    """Starts and sizes of windows that share a seed with an item, each once."""
+    """Starts and sizes of windows that share a seed with a piece, each once."""
     out = set()
     for q, (known, seed, at, n) in index.seeds.items():
         if len(words) < q:
@@ -173,7 +192,7 @@ def _windows(index: Index, words: np.ndarray) -> list[tuple[int, int]]:
         high = np.searchsorted(seed, here[places], "right")
         for place, a, b in zip(places.tolist(), low.tolist(), high.tolist(), strict=True):
             for j in range(a, b):
-                out.add((place - int(at[j]), len(index.items[n[j]])))
+                out.add((place - int(at[j]), index.pieces[n[j]][2]))
     return sorted(out)
 
 
@@ -184,7 +203,10 @@ _WINDOWS = 8192
 def _embedded(
     index: Index, texts: list[np.ndarray], opened: list[tuple[int, int, int]]
 ) -> set[tuple[int, int, int]]:
-    """Candidates among windows (text, start, size): text, start and item, in equal buckets."""
+    """Candidates among windows (text, start, size): text, item, and where the item would start.
+
+    The window and a piece of the item are in equal buckets.
+    """
     sizes = np.array([size for _, _, size in opened], np.int64)
     table = np.full((len(opened), int(sizes.max())), _PAD)
     for i, (text, start, size) in enumerate(opened):
@@ -194,22 +216,39 @@ def _embedded(
     for keys, known in zip(buckets(table, sizes), index.buckets, strict=True):
         for i in np.flatnonzero(np.isin(keys, known.keys)).tolist():
             text, start, _ = opened[i]
-            out.update((text, start, n) for n in known.items[int(keys[i])])
+            for piece in known.pieces[int(keys[i])]:
+                n, first, _ = index.pieces[piece]
+                out.add((text, n, start - first))
     return out
 
 
+def _ranges(
+    index: Index, candidates: set[tuple[int, int, int]]
+) -> Iterator[tuple[int, int, int, int]]:
+    """Text, item, and the words to search for it: overlapping ranges of an item are one."""
+    last = None
+    for text, n, start in sorted(candidates):
+        size = len(index.items[n])
+        left, right = max(start - most_edits(size), 0), max(start + size + most_edits(size), 0)
+        if last and last[:2] == (text, n) and left <= last[3]:
+            last = (text, n, last[2], right)
+            continue
+        if last:
+            yield last
+        last = (text, n, left, right)
+    if last:
+        yield last
+
+
 def matches(index: Index, texts: list[np.ndarray]) -> list[tuple[int, int, int, int]]:
     """Text, item, fewest edits and where the first such passage ends, by text and item."""
     opened = [(i, s, n) for i, words in enumerate(texts) for s, n in _windows(index, words)]
     best: dict[tuple[int, int], tuple[int, int]] = {}
     for begin in range(0, len(opened), _WINDOWS):
         candidates = _embedded(index, texts, opened[begin : begin + _WINDOWS])
-        for text, start, n in sorted(candidates):
-            item = index.items[n]
-            k = most_edits(len(item))
-            left = max(start - k, 0)
-            edits, end = least_edits(item, texts[text][left : max(start + len(item) + k, 0)])
-            if edits <= k:
+        for text, n, left, right in _ranges(index, candidates):
+            edits, end = least_edits(index.items[n], texts[text][left:right])
+            if edits <= most_edits(len(index.items[n])):
                 now = (edits, left + end)
                 best[text, n] = min(best.get((text, n), now), now)
     return [(*at, edits, end) for at, (edits, end) in sorted(best.items())]

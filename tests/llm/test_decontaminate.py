@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow.parquet as pq
+import pytest
 
 from tabvitals.llm import decontaminate as d
 from tabvitals.llm.common import WordHashes, plain_words
@@ -76,6 +77,36 @@ def test_recall_against_brute_force():
     assert len(missed) <= 0.01 * len(expected)
 
 
+@pytest.mark.parametrize("size", [100, 250, 500, 1000])
+def test_recall_of_long_items(size):
+    """At least 99 % of long passages with as many edits as allowed, and none with too many."""
+    rnd = random.Random(size)
+    other = [w.decode() for t in ITEMS for w in plain_words(t["text"])]
+    items = [rnd.choices(other, k=size) for _ in range(4)]
+    hashes = WordHashes()
+    index = d.indexed([(i, " ".join(item)) for i, item in enumerate(items)])
+    texts, expected = [], {}
+    for i in range(100):
+        k = d.most_edits(size) * (3 if i % 5 == 0 else 1)
+        text = rnd.choices(other, k=40) + edited(rnd, items[i % 4], k, other) + rnd.choices(other, k=40)
+        texts.append(hashes.of(plain_words(" ".join(text))))
+        edits, _ = d.least_edits(index.items[i % 4], texts[-1])
+        if edits <= d.most_edits(size):
+            expected[i, i % 4] = edits
+    got = {(i, n): e for i, n, e, _ in d.matches(index, texts)}
+    assert len(expected) == 80 and set(got) <= set(expected)
+    missed = [k for k, e in expected.items() if got.get(k) != e]
+    assert len(missed) <= 0.01 * len(expected)
+
+
+def test_pieces_share_the_edits_of_their_item():
+    for n in range(1, 3000):
+        cut = d.pieces(n)
+        assert [a for a, _ in cut] == [sum(size for _, size in cut[:i]) for i in range(len(cut))]
+        assert sum(size for _, size in cut) == n and 0 < max(size for _, size in cut) <= d.PIECE
+        assert sum(d.most_edits(size) + 1 for _, size in cut) > d.most_edits(n)
+
+
 def test_every_match_keeps_a_seed():
     for n in range(1, 200):
         k, q = d.most_edits(n), d.seed_words(n)
