@@ -289,7 +289,7 @@ TEXTS = [
 
 _GRANT = (
     r"(?:re)?(?:licen[cs]ed|released|distributed|available|published|provided|issued|offered)"
-    r"(?: to you)? under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?"
+    r"(?: to you)? under (?:the |an? )?(?:terms (?:and conditions )?of (?:the |an? )?)?"
 )
 _AFTER = r"(?: (?:or (?:\(at your option\) )?(?:any )?later|only))?(?: licen[cs]e)?"
 
@@ -315,6 +315,38 @@ def _literals(pattern: str) -> frozenset[str]:
     return frozenset(found) - {"the"}
 
 
+def _split(pattern: str) -> tuple[list[str], list[str]]:
+    """The alternatives of a pattern, and the groups and single characters of the first."""
+    branches, parts, depth = [""], [""], 0
+    for c in pattern:
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            branches.append("")
+            continue
+        branches[-1] += c
+        if len(branches) == 1:
+            parts[-1] += c
+            if not depth:
+                parts.append("")
+    return branches, parts[:-1]
+
+
+def _spelled_out(pattern: str) -> str:
+    """The pattern as far as its matches hold the word licence themselves."""
+    out = []
+    for branch in _split(pattern)[0]:
+        if "licen" not in branch:
+            continue
+        _, parts = _split(branch)
+        for i, part in enumerate(parts):
+            if part.startswith("(?:") and "licen" in part:
+                parts[i] = f"(?:{_spelled_out(part[3:-1])})"
+                if parts[i + 1 : i + 2] == ["?"]:
+                    parts[i + 1] = ""
+        out.append("".join(parts))
+    return "|".join(out).replace("license", "licen[cs]e")
+
+
 def _rule(
     name: str, label: str, pattern: str, keywords: list[frozenset[str]], priority: int, score: float
 ) -> Rule:
@@ -330,7 +362,7 @@ def _named() -> list[tuple[str, str, str, str]]:
             rows.append(
                 (
                     f"{label}-{number}",
-                    rf"(?:{name})(?: \w+)? {version}",
+                    rf"(?:{name})(?: \w+)? {version}(?: (?:international|unported))?",
                     f"cc {tail} {version}",
                     f"creativecommons org licenses {tail} {version}",
                 )
@@ -339,8 +371,34 @@ def _named() -> list[tuple[str, str, str, str]]:
     return rows
 
 
+#: Names of others that the name of the GPL ends.
+_NO_OTHER = "(?<!lesser )(?<!library )(?<!affero )"
+_CC_VERSION = re.compile(r"cc-by.*-(\d)\.(\d)")
+
+
+def _bare(label: str, name: str) -> Rule | None:
+    """The rule of a name that needs no word beside it: it holds 'licence', or is one of CC."""
+    if version := _CC_VERSION.fullmatch(label):
+        keys = [frozenset(["cc by", "attribution"]), frozenset([f" {version[1]} {version[2]}"])]
+    elif label == "cc0-1":
+        keys = [frozenset(["cc0", "creative commons zero"])]
+    elif label == "cc-pdm-1":
+        keys = [frozenset(["public domain mark"])]
+    elif "licen" in name:
+        name = _spelled_out(name)
+        licen = frozenset(["licen"])
+        keys = [licen, _literals(name) - licen]
+    else:
+        return None
+    return _rule(f"bare-{label}", label, rf"{_NO_OTHER}(?:{name})", keys, 5, 0.6)
+
+
 def rules() -> list[Rule]:
-    """All rules. Own texts come first, then tags, addresses, grants and bare names."""
+    """All rules. Own texts come first, then tags, addresses, grants, and names.
+
+    A name needs a word like "license" beside it, unless it holds that word or is one of CC with
+    its version.
+    """
     out = [
         _rule(f"text-{i}", label, words, [frozenset([key])], 50, 0.95)
         for i, (label, key, words) in enumerate(TEXTS)
@@ -357,6 +415,8 @@ def rules() -> list[Rule]:
         words = _literals(name)
         keys = [frozenset([" under "]), words]
         out.append(_rule(f"grant-{label}", label, granted, keys, 20, 0.85))
-        called = rf"(?:{name}) licen[cs]e|licen[cs]e (?:is )?(?:the )?(?:{name})"
+        called = rf"(?:{name}) licen[cs]ed?|licen[cs]e (?:is )?(?:the )?(?:{name})"
         out.append(_rule(f"name-{label}", label, called, [licen, words], 10, 0.7))
+        if bare := _bare(label, name):
+            out.append(bare)
     return out

@@ -68,6 +68,46 @@ def test_labels(text, label):
     assert (label in found) if label else True
 
 
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("covered by the Apache License 2.0", {"apache-2"}),
+        ("covered by the Apache Licence, Version 2.0", {"apache-2"}),
+        ("Mozilla Public License 2.0", {"mpl-2"}),
+        ("the Mozilla Public License", {"mpl"}),
+        ("GNU General Public License version 3", {"gpl-3"}),
+        ("GNU General Public License", {"gpl"}),
+        ("under the terms of the GNU General Public License version 2", {"gpl-2"}),
+        ("GNU Lesser General Public License version 2", {"lgpl"}),
+        ("GNU Lesser General Public License version 2.1", {"lgpl-2.1"}),
+        ("GNU Affero General Public License v3", {"agpl-3"}),
+        ("Eclipse Public License v2.0", {"epl-2"}),
+        ("Boost Software License 1.0", {"bsl-1.0"}),
+        ("Artistic License 2.0", {"artistic-2"}),
+        ("the Unlicense", {"unlicense"}),
+        ("MIT licensed", {"mit"}),
+        ("offered under a BSD-style license", {"bsd"}),
+        ("This article is CC BY-SA 4.0", {"cc-by-sa-4.0"}),
+        ("CC0 1.0 Universal", {"cc0-1"}),
+        ("Public Domain Mark 1.0", {"cc-pdm-1"}),
+        ("licensed under a Creative Commons Attribution 4.0 International License", {"cc-by-4.0"}),
+        (
+            "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License",
+            {"cc-by-nc-sa-3.0"},
+        ),
+        ("ich komme mit; a public general meeting, attribution 40, version 2 0 of apache", set()),
+        ("no license for the general public; the mozilla, eclipse or apache foundation", set()),
+    ],
+)
+def test_names_alone(text, labels):
+    assert {d[2] for d in licenses.scanner().detections(" ".join(words(text)))} == labels
+
+
+def test_whole_notices():
+    text = " ".join(words("licensed under a Creative Commons Attribution 4.0 International License"))
+    assert [d[:4] for d in licenses.scanner().detections(text)] == [(0, 10, "cc-by-4.0", "grant-cc-by-4.0")]
+
+
 def test_filter_and_suppression_against_brute_force():
     rnd = random.Random(4)
     pool = " ".join(TEXTS).split()
