@@ -19,6 +19,7 @@ stands in no chunk, so a payload that holds it comes back as it was.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,6 +32,7 @@ CHUNK_BYTES = 1 << 20
 LEAST_BYTES = 1000  # of payloads that are worth a revisit record
 
 _VERSION = b"WARC/1.1\r\n"
+_BEGIN = re.compile(re.escape(_VERSION.rstrip()))
 _END = "\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -69,7 +71,7 @@ def typed(
     )
 
 
-def cuts(whole: bytes, limit: int) -> Iterator[tuple[int, int]]:
+def cuts(whole: bytes | memoryview, limit: int) -> Iterator[tuple[int, int]]:
     """Where chunks begin and end: at the limit, or inside the words that begin a record.
 
     The line break is not looked for, as the end of a record begins with one.
@@ -77,15 +79,25 @@ def cuts(whole: bytes, limit: int) -> Iterator[tuple[int, int]]:
     start, size = 0, len(whole)
     while start < size or start == 0:
         end = min(start + limit, size)
-        at = whole.find(_VERSION.rstrip(), start, end)
-        if at >= 0:
-            end = at + 4
+        if found := _BEGIN.search(whole, start, end):
+            end = found.start() + 4
         yield start, end
         start = end
         if not size:
             return
 
 
+def pieces(cell: pa.Scalar, limit: int) -> Iterator[tuple[int, bool, str, int, bytes]]:
+    """Number, whether it is the last, digest so far, end and octets of each chunk of a payload.
+
+    The payload stays in its Arrow buffer; a chunk at a time is copied.
+    """
+    view, running = memoryview(cell.as_buffer() or b""), hashlib.sha1()
+    for number, (start, end) in enumerate(cuts(view, limit)):
+        running.update(view[start:end])
+        yield number, end == len(view), running.hexdigest(), end, bytes(view[start:end])
+
+
 _CHUNKS = pa.schema(
     [
         ("record_id", pa.string()),
@@ -154,16 +166,12 @@ def chunked(records: DataFrame, limit: int = CHUNK_BYTES) -> DataFrame:
                 key, url, kind, refers_to, digest, n_bytes = (
                     batch.column(c)[i].as_py() for c in range(6)
                 )
-                cell = batch.column(6)[i]
-                whole = cell.as_py() or b""
-                view, running = memoryview(whole), hashlib.sha1()
-                for number, (start, end) in enumerate(cuts(whole, limit)):
-                    running.update(view[start:end])
+                for *place, chunk in pieces(batch.column(6)[i], limit):
                     row = (
-                        f"{task}-{n}", number, end == len(whole), running.hexdigest(), end,
-                        key, url, kind, refers_to, digest, n_bytes, bytes(view[start:end]),
+                        f"{task}-{n}", *place,
+                        key, url, kind, refers_to, digest, n_bytes, chunk,
                     )
-                    yield from out.add(row, end - start)
+                    yield from out.add(row, len(chunk))
                 n += 1
         yield out.taken()
 

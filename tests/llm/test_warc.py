@@ -1,7 +1,9 @@
 import gzip
 import hashlib
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from tabvitals.llm import warc
@@ -84,3 +86,19 @@ def test_changed_archives_are_noticed(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     empty = spark.createDataFrame([], SCHEMA)
     assert warc.round_trip(empty, str(tmp_path / "a")).count() == 0
+
+
+def test_payloads_are_not_copied_whole():
+    whole = (b"x" * 999_990 + b"WARC/1.1\r\n") * 32
+    cell = pa.array([whole], pa.binary())[0]
+    running = hashlib.sha1()
+    tracemalloc.start()
+    for number, last, digest, end, chunk in warc.pieces(cell, 1 << 20):
+        running.update(chunk)
+        assert digest == running.hexdigest() and last == (end == len(whole))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert last and number >= 32 and digest == hashlib.sha1(whole).hexdigest()
+    assert peak < 4 << 20
+    for empty in (pa.scalar(None, pa.binary()), pa.scalar(b"", pa.binary())):
+        assert [p[1:] for p in warc.pieces(empty, 10)] == [(True, hashlib.sha1().hexdigest(), 0, b"")]
