@@ -1,7 +1,7 @@
 """One query per operator of this package, over its whole table, with production parameters."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabvitals.llm import (
@@ -10,10 +10,13 @@ from tabvitals.llm import (
     katz,
     licenses,
     lines,
+    merkle,
     near_dups,
+    pii,
     quality,
     secrets,
     sharding,
+    spelling,
     warc,
 )
 from tabvitals.llm.common import documents, shared_folder
@@ -21,6 +24,11 @@ from tabvitals.llm.common import documents, shared_folder
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 
 
+def checksum(key: str) -> Column:
+    """The checksum of a key in decimal; a null key counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")))
+
+
 def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """Base phrases and licences of every document."""
     return licenses.digest(licenses.scanned(documents(spark, folder)))
@@ -53,8 +61,7 @@ def op5_bpe(spark: SparkSession, folder: str, tokenizer: str | None = None) -> D
 def op6_katz(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of every document, by a model of those of four of five remainders of a checksum."""
     docs = documents(spark, folder).select("doc_id", "text")
-    remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5
-    return katz.scored(docs, remainder != 1)
+    return katz.scored(docs, checksum("doc_id") % 5 != 1)
 
 
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,6 +86,23 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.without_boilerplate(docs, "source", "text")
 
 
+def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """The personal data of every document."""
+    return pii.digest(pii.found(documents(spark, folder)))
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of all documents with their forms; one in 199 runs loses a character."""
+    return spelling.grouped(documents(spark, folder), thin=199)
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests and proof of every document, checked against a copy of which half lost line ends."""
+    text = F.translate("text", "\n", "")
+    rows = merkle.manifest(documents(spark, folder), checksum("doc_id") % 2 == 0, text)
+    return rows.drop("place")
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_decontamination": op2_decontamination,
@@ -90,4 +114,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_line_dedup": op10_line_dedup,
+    "op11_pii": op11_pii,
+    "op12_spelling": op12_spelling,
+    "op13_merkle": op13_merkle,
 }
