@@ -17,6 +17,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -368,7 +369,7 @@ def masked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """The documents with every span replaced by its kind in brackets; of overlaps, the first."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
 
-    def mask(values: Iterator) -> Iterator:
+    def mask(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in values:
             yield series.map(_masked, na_action="ignore")
 
