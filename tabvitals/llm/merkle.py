@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tabvitals.llm.common import written
 
 ARITY = 3
-DEPTH = 9  # levels of a block, so at most 19,683 members
+DEPTH = 7  # levels of a block, so at most 2,187 members
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 _PATH = "array<struct<left: string, right: string>>"
