@@ -6,8 +6,9 @@ one persistent tree: a tampered leaf makes a version of it that copies the leaf'
 the block and shares every other node. Above the block the version goes on by the block's path,
 which lists what stands left and right of it on each further level, up to the root of all.
 
-1. Leaves are hashed in SQL functions and sorted by ranges of source and key; a row's position in
-   its source follows from counts per range and source, so no source is sorted in one task.
+1. Leaves are hashed in SQL functions, written, and sorted by ranges of source and key; a row's
+   position in its source follows from counts per range and source, so no source is sorted in one
+   task. Texts are read once.
 2. Rounds go up: the top of each block is a leaf of the next round, until one node is left.
 3. Rounds go down: each block gets the path of its top and gives its members theirs.
 
@@ -228,7 +229,7 @@ def manifest(
         leaf_hash(list(values.values())).alias("leaf"),
         F.when(tampered, changed).alias("other"),
     )
-    leaves, largest, n_sources = _placed(leaves)
+    leaves, largest, n_sources = _placed(written(leaves, "digests"))
     # Rounds within the sources, whose last one gives the subroots; then rounds over those.
     nodes = leaves.select("tree", "place", "n", F.col("leaf").alias("digest"))
     inner = _rounds(nodes, largest, depth)
