@@ -229,3 +229,23 @@ HISTORY = Input(
         "content": "props",
     },
 )
+
+# Whole numbers beyond 2^53, neighbours of each other, and decimals, some of them tenfold.
+LARGE = Input(
+    "lineitem",
+    {
+        "key": "CAST(9007199254740992 AS BIGINT) + l_orderkey",
+        "price": (
+            "CAST(CASE WHEN l_tax = 0.03 AND l_quantity = 7.0 THEN l_extendedprice * 10 "
+            "WHEN l_discount = 0.0 THEN NULL ELSE l_extendedprice END AS DECIMAL(14,2))"
+        ),
+        "serial": (
+            "CAST(CAST(l_partkey AS DECIMAL(30,4)) "
+            "+ CAST('123456789012345678901.0001' AS DECIMAL(30,4)) AS DECIMAL(30,4))"
+        ),
+        "far_key": (
+            "CASE WHEN l_linenumber = 7 THEN CAST(-9007199254740993 AS BIGINT) "
+            "ELSE CAST(9007199254740992 AS BIGINT) + l_suppkey END"
+        ),
+    },
+)

@@ -41,6 +41,7 @@ def clean(source: inputs.Input, doubles: str) -> str:
 
 LINEITEM = clean(inputs.LINEITEM, "l_quantity l_extendedprice l_discount l_tax")
 EVENTS = clean(inputs.EVENTS, "value")
+LARGE = inputs.LARGE.sql
 SHIPMENTS, ORDERS, TRIPS = inputs.SHIPMENTS.sql, inputs.ORDERS.sql, inputs.TRIPS.sql
 DOCUMENTS, PART, CUSTOMER = inputs.DOCUMENTS.sql, inputs.PART.sql, inputs.CUSTOMER.sql
 
@@ -197,6 +198,69 @@ def outlier_profile(source: str, columns: list[str]) -> str:
     return union(parts)
 
 
+def ranked(source: str, column: str) -> str:
+    """Values in order, with their rank from 0 and their number."""
+    return (
+        f"SELECT {column} AS v, row_number() OVER (ORDER BY {column}) - 1 AS r, "
+        f"count(*) OVER () AS n FROM {source} WHERE {column} IS NOT NULL"
+    )
+
+
+def exact_outlier_profile(source: str, columns: dict[str, int]) -> str:
+    """In whole numbers: values in units of 1 / scale, quartiles in quarters, fences in eighths."""
+    parts = []
+    for i, (c, scale) in enumerate(columns.items()):
+        values = f"SELECT CAST({c} * {scale} AS BIGINT) AS v FROM {source}"
+        order = ranked(f"({values})", "v")
+        fourths = [
+            f"4 * max(CASE WHEN r = ({k} * (n - 1)) // 4 THEN v END) + (({k} * max(n - 1)) % 4) "
+            f"* (max(CASE WHEN r = ({k} * (n - 1) + 3) // 4 THEN v END) "
+            f"- max(CASE WHEN r = ({k} * (n - 1)) // 4 THEN v END)) AS f{k}"
+            for k in (1, 3)
+        ]
+        limits = (
+            f"SELECT *, 2 * f1 - 3 * (f3 - f1) AS lo, 2 * f3 + 3 * (f3 - f1) AS hi FROM (SELECT "
+            f"{', '.join(fourths)}, max(n) AS n, min(v) AS low, max(v) AS high FROM ({order}))"
+        )
+        counted = (
+            f"SELECT *, (SELECT count(*) FROM ({values}) WHERE 8 * v < lo) AS outliers_low, "
+            f"(SELECT count(*) FROM ({values}) WHERE 8 * v > hi) AS outliers_high FROM ({limits})"
+        )
+        shares = (
+            "SELECT *, outliers_low + outliers_high AS total_outliers, "
+            f"{pct('(outliers_low + outliers_high)', 'n')} AS outlier_pct FROM ({counted})"
+        )
+
+        def shown(x: str, units: int) -> str:
+            return rounded(f"CAST(CAST({x} AS BIGINT) AS DOUBLE) / {units}", 4)
+
+        parts.append(
+            f"SELECT {i} AS ordinal, {quote(c)} AS column_name, {shown('f1', 4 * scale)} AS q1, "
+            f"{shown('f3', 4 * scale)} AS q3, {shown('f3 - f1', 4 * scale)} AS iqr, "
+            f"{shown('lo', 8 * scale)} AS lower_fence, {shown('hi', 8 * scale)} AS upper_fence, "
+            "outliers_low, outliers_high, total_outliers, outlier_pct, "
+            f"{shown('low', scale)} AS actual_min, {shown('high', scale)} AS actual_max, "
+            f"{level('outlier_pct', 1, 5)} AS severity FROM ({shares})"
+        )
+    return union(parts)
+
+
+def quantile_profile(source: str, columns: list[str], quarters: list[int]) -> str:
+    parts = []
+    for i, c in enumerate(columns):
+        for j, k in enumerate(quarters):
+            ends = ", ".join(
+                f"CAST(max(CASE WHEN r = ({k} * (n - 1) + {up}) // 4 THEN v END) AS VARCHAR) AS {name}"
+                for up, name in ((0, "lower_value"), (3, "upper_value"))
+            )
+            parts.append(
+                f"SELECT {i * len(quarters) + j} AS ordinal, {quote(c)} AS column_name, "
+                f"CAST({k / 4} AS DOUBLE) AS probability, count(*) AS count, {ends} "
+                f"FROM ({ranked(source, c)})"
+            )
+    return union(parts)
+
+
 def outlier_summary(profile: str) -> str:
     return (
         "SELECT count(*) AS columns_checked, "
@@ -528,12 +592,13 @@ TRIP_RESULTS = validation(
 # Exploration
 
 
-def describe(source: str, columns: dict[str, int]) -> str:
+def describe(source: str, columns: dict[str, int], less: str = "0") -> str:
+    """Deviations are taken after subtracting `less`, which brings large numbers near zero."""
     parts = []
     for c, i in columns.items():
         statistics = {
             "mean": f"avg({c})",
-            "std": f"stddev_samp({c})",
+            "std": f"stddev_samp({c} - {less})",
             "min": f"CAST(min({c}) AS DOUBLE)",
             "p25": f"quantile_cont(CAST({c} AS DOUBLE), 0.25)",
             "p50": f"quantile_cont(CAST({c} AS DOUBLE), 0.5)",
@@ -752,6 +817,8 @@ ORACLE = {
     "outlier_profile_infinite": INFINITE_OUTLIERS,
     "outlier_profile": LINEITEM_OUTLIERS,
     "outlier_profile_all_numeric": outlier_profile(LINEITEM, LINEITEM_NUMBERS),
+    "outlier_profile_exact": exact_outlier_profile(LARGE, {"price": 100, "far_key": 1}),
+    "quantile_profile": quantile_profile(LARGE, list(inputs.LARGE.columns), [0, 1, 2, 3, 4]),
     "outlier_profile_events": outlier_profile(EVENTS, ["value"]),
     "outlier_summary": outlier_summary(LINEITEM_OUTLIERS),
     "severe_outliers": (
@@ -814,6 +881,12 @@ ORACLE = {
     "failed_details": f"SELECT * FROM ({LINEITEM_RESULTS}) WHERE NOT passed",
     "describe": describe(LINEITEM, {c: i for i, c in enumerate(LINEITEM_NUMBERS)}),
     "describe_orders": describe(ORDERS, {"o_orderkey": 0, "o_custkey": 1, "o_totalprice": 2}),
+    "describe_decimals": union(
+        [
+            describe(LARGE, {"price": 0}),
+            describe(LARGE, {"key": 1}, "CAST(9007199254740992 AS BIGINT)"),
+        ]
+    ),
     "describe_timestamps": describe_timestamps(ORDERS, "o_orderdate"),
     "describe_event_times": describe_timestamps(EVENTS, "ts"),
     "value_counts": value_counts(LINEITEM, ["l_returnflag", "l_linenumber"]),

@@ -184,6 +184,16 @@ def outlier_profile_infinite(spark, folder):
     return tv.outlier_profile(inputs.SIGNED.frame(spark, folder), ["endless"])
 
 
+def outlier_profile_exact(spark, folder):
+    """Whole numbers and decimals that doubles cannot tell apart."""
+    return tv.outlier_profile(inputs.LARGE.frame(spark, folder), ["price", "far_key"])
+
+
+def quantile_profile(spark, folder):
+    large = inputs.LARGE.frame(spark, folder)
+    return tv.quantile_profile(large, large.columns, [0.0, 0.25, 0.5, 0.75, 1.0]).drop("value")
+
+
 def outlier_summary(spark, folder):
     return tv.outlier_summary(outlier_profile(spark, folder))
 
@@ -280,6 +290,10 @@ def describe_orders(spark, folder):
     return tv.describe(inputs.ORDERS.frame(spark, folder))
 
 
+def describe_decimals(spark, folder):
+    return tv.describe(inputs.LARGE.frame(spark, folder).select("price", "key"))
+
+
 def describe_timestamps(spark, folder):
     return tv.describe_timestamps(inputs.ORDERS.frame(spark, folder))
 
@@ -458,6 +472,8 @@ QUERIES = {
         outlier_profile_infinite,
         outlier_profile_all_numeric,
         outlier_profile_events,
+        outlier_profile_exact,
+        quantile_profile,
         outlier_summary,
         severe_outliers,
         rule_profile,
@@ -475,6 +491,7 @@ QUERIES = {
         failed_details,
         describe,
         describe_orders,
+        describe_decimals,
         describe_timestamps,
         describe_event_times,
         value_counts,

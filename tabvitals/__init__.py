@@ -19,6 +19,7 @@ from tabvitals.operators.findings import findings, findings_text
 from tabvitals.operators.nulls import columns_with_nulls, null_profile, null_summary
 from tabvitals.operators.outliers import outlier_profile, outlier_summary, severe_outliers
 from tabvitals.operators.overview import column_types, first_rows, numeric_columns, overview
+from tabvitals.operators.quantiles import approximate_quantiles, exact_quantiles, quantile_profile
 from tabvitals.operators.rules import Rule, failed_rules, rule_profile, rule_summary, violation_counts
 from tabvitals.operators.score import health_score
 from tabvitals.plans.monitor import (

@@ -9,11 +9,11 @@ from pyspark.sql import types as T
 from tabvitals.functions.numeric import column, normalise, number, quoted, rounded_scaled
 from tabvitals.functions.text import literal
 from tabvitals.operators.measure import measure, row_count, to_rows
-from tabvitals.operators.quantiles import exact_quantiles
+from tabvitals.operators.quantiles import WHOLE, Family, Value, exact_quantiles, family_of
 
 _QUARTILES = [0.25, 0.5, 0.75]
 _STATISTICS = {"count": "count", "mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
-_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+_NUMBERS = (*WHOLE, T.DecimalType, T.FloatType, T.DoubleType)
 _TIMES = (T.TimestampType, T.TimestampNTZType)
 
 
@@ -21,10 +21,30 @@ def _of_type(df: DataFrame, kinds: tuple) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
 
+def _deviation(name: str, family: Family, median: Value | None) -> tuple[str, str]:
+    """A column as double, less a number near its median, and that number (SQL).
+
+    Whole numbers beyond 2^53 and decimals are moved near zero before they become doubles, which
+    then hold them and their squares; other columns stay as they are.
+    """
+    plain = f"CAST({quoted(name)} AS DOUBLE)", "0D"
+    if median is None or family.kind == "double":
+        return plain
+    centre = int(float(int(median)))  # exact as a double
+    if family.kind == "whole" and abs(centre) < 2**52:
+        return plain
+    exact = f"CAST({quoted(name)} AS DECIMAL(38,{family.scale}))"
+    moved = f"CAST(try_subtract({exact}, CAST('{centre}' AS DECIMAL(38,0))) AS DOUBLE)"
+    if family.kind == "decimal":  # differences of 38 digits don't fit
+        moved = f"coalesce({moved}, CAST({exact} AS DOUBLE) - {number(float(centre))})"
+    return moved, number(float(centre))
+
+
 def describe(df: DataFrame) -> DataFrame:
     """A row per numeric column: count, mean, sample deviation, range and exact quartiles.
 
-    Values have 2 decimals.
+    Values have 2 decimals. Quartiles of whole numbers and decimals are exact before they are shown,
+    and their mean and deviation are taken of distances from the median.
     """
     names = _of_type(df, _NUMBERS)
     quartiles = exact_quantiles(df, names, _QUARTILES)
@@ -32,10 +52,13 @@ def describe(df: DataFrame) -> DataFrame:
     aggregates, entries = row_count(), []
     for i, name in enumerate(names):
         value, place = f"CAST({quoted(name)} AS DOUBLE)", df.columns.index(name)
+        moved, centre = _deviation(name, family_of(df, name), quartiles[name][1])
         for key, function in _STATISTICS.items():
-            aggregates[f"{key}_{i}"] = (place, F.expr(f"{function}({value})"))
-        statistics = {k: f"{k}_{i}" for k in ("mean", "std", "min", "max")}
-        statistics |= {k: number(q) for k, q in zip(("p25", "p50", "p75"), quartiles[name])}
+            measured = moved if key in ("mean", "std") else value
+            aggregates[f"{key}_{i}"] = (place, F.expr(f"{function}({measured})"))
+        statistics = {"mean": f"(mean_{i} + {centre})"} | {k: f"{k}_{i}" for k in ("std", "min", "max")}
+        found = [None if q is None else float(q) for q in quartiles[name]]
+        statistics |= {k: number(q) for k, q in zip(("p25", "p50", "p75"), found, strict=True)}
         entries.append(
             {"column_name": literal(name), "count": f"count_{i}"}
             | {k: rounded_scaled(s, 2) for k, s in statistics.items()}

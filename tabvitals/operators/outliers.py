@@ -1,6 +1,8 @@
 """Outliers by the interquartile-range method."""
 
 import math
+from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +12,12 @@ from tabvitals.functions.numeric import normalise, number, percent, quoted, roun
 from tabvitals.functions.text import literal
 from tabvitals.operators.measure import Aggregates, measure, row_count, to_rows
 from tabvitals.operators.overview import numeric_columns
-from tabvitals.operators.quantiles import exact_quantiles
+from tabvitals.operators.quantiles import Family, Value, exact_quantiles, family_of
 
 # Fixed value: the fences lie this many interquartile ranges outside the quartiles.
 FENCE_FACTOR = 1.5
 
+_LIMITS = ("q1", "q3", "iqr", "lower_fence", "upper_fence")
 _SCHEMA = (
     "column_name string, q1 double, q3 double, iqr double, lower_fence double, "
     "upper_fence double, outliers_low bigint, outliers_high bigint, valid bigint, "
@@ -22,34 +25,57 @@ _SCHEMA = (
 )
 
 
-def fences(df: DataFrame, columns: list[str]) -> dict[str, dict[str, float | None]]:
-    """Quartiles, their range and the fences of each column, unrounded."""
-    result = {}
-    for name, (q1, q3) in exact_quantiles(df, columns, [0.25, 0.75]).items():
-        if q1 is None:
-            result[name] = dict.fromkeys(("q1", "q3", "iqr", "lower_fence", "upper_fence"))
-            continue
-        iqr = q3 - q1
-        limits = {
-            "q1": q1,
-            "q3": q3,
-            "iqr": iqr,
-            "lower_fence": q1 - FENCE_FACTOR * iqr,
-            "upper_fence": q3 + FENCE_FACTOR * iqr,
-        }
-        # Infinite quartiles have no range. Like any missing number, the fences are then NULL, and
-        # no value lies outside them.
-        result[name] = {k: None if math.isnan(v) else v for k, v in limits.items()}
-    return result
+@dataclass(frozen=True)
+class Fences:
+    """Quartiles, their range and the fences of a column, and which values lie outside (SQL)."""
+
+    shown: dict[str, float | None]
+    below: str
+    above: str
 
 
-def outlier_aggregates(df: DataFrame, limits: dict[str, dict]) -> Aggregates:
+def _fences(name: str, family: Family, q1: Value | None, q3: Value | None) -> Fences:
+    if q1 is None:
+        return Fences(dict.fromkeys(_LIMITS), "FALSE", "FALSE")
+    iqr = q3 - q1
+    if isinstance(iqr, float) and math.isnan(iqr):
+        # Infinite quartiles have no range. Like any missing number, the fences are then NULL, and
+        # no value lies outside them.
+        limits = [q1, q3, None, None, None]
+        return Fences(dict(zip(_LIMITS, limits, strict=True)), "FALSE", "FALSE")
+    factor = FENCE_FACTOR if isinstance(iqr, float) else Fraction(FENCE_FACTOR)
+    limits = [q1, q3, iqr, q1 - factor * iqr, q3 + factor * iqr]
+    value = f"CAST({quoted(name)} AS {family.sql_type})"
+
+    def outside(limit: Value, sign: int) -> str:
+        # Whole numbers and decimals are compared with the nearest of their kind inside the fence.
+        inner = family.within(limit, sign)
+        if inner is None:
+            return f"{quoted(name)} IS NOT NULL"
+        return f"{value} {'>' if sign > 0 else '<'} {family.literal(inner)}"
+
+    shown = {k: None if math.isnan(v) else float(v) for k, v in zip(_LIMITS, limits, strict=True)}
+    ends = limits[3:]
+    if any(math.isnan(v) for v in ends):
+        return Fences(shown, "FALSE", "FALSE")
+    return Fences(shown, outside(ends[0], -1), outside(ends[1], 1))
+
+
+def fences(df: DataFrame, columns: list[str]) -> dict[str, Fences]:
+    """The fences of each column, unrounded."""
+    return {
+        name: _fences(name, family_of(df, name), q1, q3)
+        for name, (q1, q3) in exact_quantiles(df, columns, [0.25, 0.75]).items()
+    }
+
+
+def outlier_aggregates(df: DataFrame, limits: dict[str, Fences]) -> Aggregates:
     result = {}
     for i, (name, limit) in enumerate(limits.items()):
         value, place = f"CAST({quoted(name)} AS DOUBLE)", df.columns.index(name)
         aggregates = {
-            "low": f"count_if({value} < {number(limit['lower_fence'])})",
-            "high": f"count_if({value} > {number(limit['upper_fence'])})",
+            "low": f"count_if({limit.below})",
+            "high": f"count_if({limit.above})",
             "valid": f"count({quoted(name)})",
             "min": f"min({value})",
             "max": f"max({value})",
@@ -58,10 +84,10 @@ def outlier_aggregates(df: DataFrame, limits: dict[str, dict]) -> Aggregates:
     return result
 
 
-def outlier_rows(measured: DataFrame, limits: dict[str, dict]) -> DataFrame:
+def outlier_rows(measured: DataFrame, limits: dict[str, Fences]) -> DataFrame:
     entries = [
         {"column_name": literal(name)}
-        | {key: number(value) for key, value in limit.items()}
+        | {key: number(value) for key, value in limit.shown.items()}
         | {
             "outliers_low": f"low_{i}",
             "outliers_high": f"high_{i}",
@@ -93,8 +119,9 @@ def outlier_rows(measured: DataFrame, limits: dict[str, dict]) -> DataFrame:
 def outlier_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """A row per column: quartiles, fences, values outside them, range, severity.
 
-    Without `columns`, the int, bigint and double columns are checked. Shares are of the
-    non-missing values.
+    Without `columns`, the int, bigint, decimal and double columns are checked. Shares are of the
+    non-missing values. Whole numbers and decimals are compared exactly, at any size; figures are
+    shown as doubles.
     """
     limits = fences(df, numeric_columns(df) if columns is None else columns)
     df = normalise(df)

@@ -130,8 +130,8 @@ def column_types(df: DataFrame) -> DataFrame:
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    """The columns that outlier checks pick by themselves: int, bigint and double."""
-    wanted = (T.IntegerType, T.LongType, T.DoubleType)
+    """The columns that outlier checks pick by themselves: int, bigint, decimal and double."""
+    wanted = (T.IntegerType, T.LongType, T.DecimalType, T.DoubleType)
     return [f.name for f in df.schema.fields if isinstance(f.dataType, wanted)]
 
 

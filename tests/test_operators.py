@@ -322,9 +322,9 @@ def test_automatic_columns(spark):
     df = spark.range(1).selectExpr(
         "1 AS i", "1L AS l", "1D AS d", "1F AS f", "1S AS s", "1.0 AS dec", "true AS b", "'x' AS t"
     )
-    assert tv.numeric_columns(df) == ["i", "l", "d"]
+    assert tv.numeric_columns(df) == ["i", "l", "d", "dec"]
     described = [r.column_name for r in tv.describe(df).orderBy("ordinal").collect()]
-    assert described == ["i", "l", "d", "f", "s"]
+    assert described == ["i", "l", "d", "f", "s", "dec"]
 
 
 def test_timestamps_with_zone(spark):
