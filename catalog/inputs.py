@@ -57,6 +57,9 @@ LINEITEM = Input(
     },
 )
 
+# The same, with the day of shipping.
+DAILY = Input("lineitem", LINEITEM.columns | {"day": "CAST(l_shipdate AS DATE)"})
+
 # A second date before, at or after the ship date, and a total of three parts that is missing
 # or wrong in some rows.
 SHIPMENTS = Input(

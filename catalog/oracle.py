@@ -42,6 +42,7 @@ def clean(source: inputs.Input, doubles: str) -> str:
 LINEITEM = clean(inputs.LINEITEM, "l_quantity l_extendedprice l_discount l_tax")
 EVENTS = clean(inputs.EVENTS, "value")
 LARGE = inputs.LARGE.sql
+DAILY = clean(inputs.DAILY, "l_quantity l_extendedprice l_discount l_tax")
 SHIPMENTS, ORDERS, TRIPS = inputs.SHIPMENTS.sql, inputs.ORDERS.sql, inputs.TRIPS.sql
 DOCUMENTS, PART, CUSTOMER = inputs.DOCUMENTS.sql, inputs.PART.sql, inputs.CUSTOMER.sql
 
@@ -50,6 +51,11 @@ def union(parts: list[str]) -> str:
     return " UNION ALL ".join(f"({p})" for p in parts)
 
 
+def grouping(by: str) -> tuple[str, str]:
+    """The grouping columns before others, and the clause that groups by them."""
+    return (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
+
+
 # Overview
 
 
@@ -112,26 +118,28 @@ DOCUMENT_TYPES = {"text": "string", "lang": "string", "source": "string", "n_cha
 # Nulls
 
 
-def null_profile(source: str, columns) -> str:
+def null_profile(source: str, columns, by: str = "") -> str:
+    first, last = grouping(by)
     counts = union(
         [
-            f"SELECT {i} AS ordinal, {quote(c)} AS column_name, "
-            f"count(*) - count({c}) AS null_count, count(*) AS n FROM {source}"
+            f"SELECT {first}{i} AS ordinal, {quote(c)} AS column_name, "
+            f"count(*) - count({c}) AS null_count, count(*) AS n FROM {source}{last}"
             for i, c in enumerate(columns)
         ]
     )
     shares = f"SELECT *, {pct('null_count', 'n')} AS null_pct FROM ({counts})"
     return (
-        f"SELECT ordinal, column_name, null_count, null_pct, {level('null_pct', 5, 20)} AS severity "
+        f"SELECT {first}ordinal, column_name, null_count, null_pct, {level('null_pct', 5, 20)} AS severity "
         f"FROM ({shares})"
     )
 
 
-def null_summary(profile: str) -> str:
+def null_summary(profile: str, by: str = "") -> str:
+    first, last = grouping(by)
     return (
-        "SELECT count_if(null_count > 0) AS columns_with_nulls, "
+        f"SELECT {first}count_if(null_count > 0) AS columns_with_nulls, "
         "count_if(severity IN ('critical', 'severe')) AS columns_critical, "
-        f"CAST(sum(null_count) AS BIGINT) AS total_null_cells FROM ({profile})"
+        f"CAST(sum(null_count) AS BIGINT) AS total_null_cells FROM ({profile}){last}"
     )
 
 
@@ -261,6 +269,46 @@ def quantile_profile(source: str, columns: list[str], quarters: list[int]) -> st
     return union(parts)
 
 
+def between_neighbours(k: int) -> str:
+    """The k-th quartile of an ordered list `vs` of `n` values, from the nearer neighbour."""
+    low, high = f"vs[CAST(floor((n - 1) * {k / 4}) AS BIGINT) + 1]", f"vs[CAST(ceil((n - 1) * {k / 4}) AS BIGINT) + 1]"
+    part = f"CAST(({k} * (n - 1)) % 4 AS DOUBLE) / 4"
+    return (
+        f"CASE WHEN {part} >= 0.5 THEN {high} - ({high} - {low}) * (CAST(1 AS DOUBLE) - {part}) "
+        f"ELSE {low} + ({high} - {low}) * ({part}) END"
+    )
+
+
+def outlier_profile_by(source: str, columns: list[str], by: str) -> str:
+    parts = []
+    for i, c in enumerate(columns):
+        values = f"SELECT {by} AS b, CAST({c} AS DOUBLE) AS v FROM {source}"
+        limits = (
+            "SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM "
+            f"(SELECT b, {between_neighbours(1)} AS q1, {between_neighbours(3)} AS q3, n, low, high "
+            "FROM (SELECT b, list(v ORDER BY v) FILTER (v IS NOT NULL) AS vs, count(v) AS n, "
+            f"min(v) AS low, max(v) AS high FROM ({values}) GROUP BY b))"
+        )
+        counted = (
+            "SELECT l.b, q1, q3, iqr, lo, hi, n, low, high, count_if(v < lo) AS outliers_low, "
+            f"count_if(v > hi) AS outliers_high FROM ({limits}) l JOIN ({values}) x "
+            "ON l.b IS NOT DISTINCT FROM x.b GROUP BY ALL"
+        )
+        shares = (
+            "SELECT *, outliers_low + outliers_high AS total_outliers, "
+            f"{pct('(outliers_low + outliers_high)', 'n')} AS outlier_pct FROM ({counted})"
+        )
+        parts.append(
+            f"SELECT b AS {by}, {i} AS ordinal, {quote(c)} AS column_name, {rounded('q1', 4)} AS q1, "
+            f"{rounded('q3', 4)} AS q3, {rounded('iqr', 4)} AS iqr, "
+            f"{rounded('lo', 4)} AS lower_fence, {rounded('hi', 4)} AS upper_fence, "
+            "outliers_low, outliers_high, total_outliers, outlier_pct, "
+            f"{rounded('low', 4)} AS actual_min, {rounded('high', 4)} AS actual_max, "
+            f"{level('outlier_pct', 1, 5)} AS severity FROM ({shares})"
+        )
+    return union(parts)
+
+
 def outlier_summary(profile: str) -> str:
     return (
         "SELECT count(*) AS columns_checked, "
@@ -284,17 +332,18 @@ TRIP_OUTLIERS = outlier_profile(TRIPS, given.OUTLIER_COLUMNS)
 # Rules
 
 
-def rule_profile(source: str, rules: list[tuple]) -> str:
+def rule_profile(source: str, rules: list[tuple], by: str = "") -> str:
+    first, last = grouping(by)
     counts = union(
         [
-            f"SELECT {i} AS ordinal, {quote(name)} AS rule_name, {quote(column)} AS \"column\", "
+            f"SELECT {first}{i} AS ordinal, {quote(name)} AS rule_name, {quote(column)} AS \"column\", "
             f"{quote(rule)} AS rule, count_if({violation}) AS violations, count(*) AS n, "
-            f"{quote(on_fail)} AS on_fail FROM {source}"
+            f"{quote(on_fail)} AS on_fail FROM {source}{last}"
             for i, (name, column, rule, violation, on_fail) in enumerate(rules)
         ]
     )
     return (
-        'SELECT ordinal, rule_name, "column", rule, violations, '
+        f'SELECT {first}ordinal, rule_name, "column", rule, violations, '
         f"{pct('violations', 'n')} AS violation_pct, "
         f"CASE WHEN violations = 0 THEN 'ok' ELSE on_fail END AS severity FROM ({counts})"
     )
@@ -313,48 +362,46 @@ def mismatch(total: str, parts: list[str]) -> str:
     return f"abs({rounded_scaled(amount, 2)} - {rounded_scaled(total, 2)}) > CAST(0.1 AS DOUBLE)"
 
 
-SHIPMENT_RULES = rule_profile(
-    SHIPMENTS,
-    [
-        ("discount_positive", "l_discount", "l_discount > 0", "l_discount <= 0", "critical"),
-        ("tax_non_negative", "l_tax", "l_tax >= 0", "l_tax < 0", "critical"),
-        (
-            "quantity_in_range",
-            "l_quantity",
-            "5 <= l_quantity <= 45",
-            "l_quantity NOT BETWEEN 5 AND 45",
-            "warning",
-        ),
-        (
-            "shipped_before_received",
-            "l_shipdate + l_receiptdate",
-            "l_shipdate < l_receiptdate",
-            "l_shipdate >= l_receiptdate",
-            "critical",
-        ),
-        (
-            "shipped_in_1998",
-            "l_shipdate",
-            "year(l_shipdate) == 1998",
-            "year(l_shipdate) IS DISTINCT FROM 1998",
-            "critical",
-        ),
-        (
-            "taxed_without_discount",
-            "l_discount + l_tax",
-            "NOT (l_discount==0 AND l_tax>0)",
-            "l_discount = 0 AND l_tax > 0",
-            "warning",
-        ),
-        (
-            "total_matches_parts",
-            "total",
-            "total = sum of parts",
-            mismatch("total", ["part_price", "part_tax", "part_discount"]),
-            "warning",
-        ),
-    ],
-)
+SHIPMENT_CHECKS = [
+    ("discount_positive", "l_discount", "l_discount > 0", "l_discount <= 0", "critical"),
+    ("tax_non_negative", "l_tax", "l_tax >= 0", "l_tax < 0", "critical"),
+    (
+        "quantity_in_range",
+        "l_quantity",
+        "5 <= l_quantity <= 45",
+        "l_quantity NOT BETWEEN 5 AND 45",
+        "warning",
+    ),
+    (
+        "shipped_before_received",
+        "l_shipdate + l_receiptdate",
+        "l_shipdate < l_receiptdate",
+        "l_shipdate >= l_receiptdate",
+        "critical",
+    ),
+    (
+        "shipped_in_1998",
+        "l_shipdate",
+        "year(l_shipdate) == 1998",
+        "year(l_shipdate) IS DISTINCT FROM 1998",
+        "critical",
+    ),
+    (
+        "taxed_without_discount",
+        "l_discount + l_tax",
+        "NOT (l_discount==0 AND l_tax>0)",
+        "l_discount = 0 AND l_tax > 0",
+        "warning",
+    ),
+    (
+        "total_matches_parts",
+        "total",
+        "total = sum of parts",
+        mismatch("total", ["part_price", "part_tax", "part_discount"]),
+        "warning",
+    ),
+]
+SHIPMENT_RULES = rule_profile(SHIPMENTS, SHIPMENT_CHECKS)
 TRIP_RULES = rule_profile(
     TRIPS,
     [
@@ -423,6 +470,23 @@ def checks(source: str, violations: dict[str, str]) -> str:
 # Health
 
 
+def health_score_by(nulls: str, rules: str, by: str) -> str:
+    parts = (
+        f"SELECT * FROM (SELECT {by}, CAST(count_if(violations = 0) AS DOUBLE) / count(*) * 100 AS r "
+        f"FROM ({rules}) GROUP BY {by}) JOIN (SELECT {by}, "
+        f"CAST(count_if(severity = 'ok') AS DOUBLE) / count(*) * 100 AS n FROM ({nulls}) GROUP BY {by}) "
+        f"USING ({by})"
+    )
+    scores = (
+        f"SELECT {by}, {rounded('CAST(0.6 AS DOUBLE) * r + CAST(0.4 AS DOUBLE) * n', 1)} AS score, "
+        f"{rounded('r', 1)} AS rule_score, {rounded('n', 1)} AS null_score FROM ({parts})"
+    )
+    return (
+        "SELECT *, CASE WHEN score >= 90 THEN 'A' WHEN score >= 75 THEN 'B' "
+        f"WHEN score >= 60 THEN 'C' ELSE 'D' END AS grade FROM ({scores})"
+    )
+
+
 def health_score(nulls: str, rules: str | None) -> str:
     rule_score = (
         f"(SELECT CAST(count_if(violations = 0) AS DOUBLE) / count(*) * 100 FROM ({rules}))"
@@ -484,7 +548,8 @@ def row_count(holds: str, **meta):
     return table_check("expect_table_row_count_to_be_between", holds, **meta)
 
 
-def validation(source: str, suite: list[tuple]) -> str:
+def validation(source: str, suite: list[tuple], by: str = "") -> str:
+    first, last = grouping(by)
     parts = []
     for i, (name, column, group, description, unexpected, considered, mostly, holds, reason) in enumerate(suite):
         if holds is not None:
@@ -496,51 +561,50 @@ def validation(source: str, suite: list[tuple]) -> str:
                 f"/ nullif({considered}, 0) >= CAST({mostly} AS DOUBLE), true) AS passed"
             )
         parts.append(
-            f"SELECT {i} AS ordinal, {quote(name)} AS expectation, {quote(column)} AS \"column\", "
+            f"SELECT {first}{i} AS ordinal, {quote(name)} AS expectation, {quote(column)} AS \"column\", "
             f"{quote(group)} AS \"group\", {counts}, {quote(description)} AS description, "
-            f"{'CAST(NULL AS VARCHAR)' if reason is None else quote(reason)} AS reason FROM {source}"
+            f"{'CAST(NULL AS VARCHAR)' if reason is None else quote(reason)} AS reason FROM {source}{last}"
         )
     return (
-        'SELECT ordinal, expectation, "column", "group", passed, '
+        f'SELECT {first}ordinal, expectation, "column", "group", passed, '
         "CASE WHEN passed THEN 0 ELSE bad END AS violation_count, "
         f"CASE WHEN passed OR n = 0 THEN 0.0 ELSE {pct('bad', 'n')} END AS violation_pct, "
         f"description, reason FROM ({union(parts)})"
     )
 
 
-def validation_summary(results: str) -> str:
+def validation_summary(results: str, by: str = "") -> str:
+    first, last = grouping(by)
     return (
-        "SELECT count(*) AS total, count_if(passed) AS passed, count_if(NOT passed) AS failed, "
+        f"SELECT {first}count(*) AS total, count_if(passed) AS passed, count_if(NOT passed) AS failed, "
         f"{rounded('CAST(count_if(passed) AS DOUBLE) / count(*) * 100', 1)} AS success_pct "
-        f"FROM ({results})"
+        f"FROM ({results}){last}"
     )
 
 
-LINEITEM_RESULTS = validation(
-    LINEITEM,
-    [
-        columns_match(True, group="schema", description="keys"),
-        columns_match(False, group="schema", description="all"),
-        not_null("l_orderkey", group="nulls", description="order"),
-        not_null("l_quantity", group="nulls", description="quantity"),
-        not_null("l_tax", 0.85, group="nulls", description="tax, mostly"),
-        between("l_extendedprice", 1000, 100000, group="ranges", description="price"),
-        between("l_tax", high=0.05, group="ranges", description="upper bound only"),
-        between("l_quantity", 2, 50, 0.95, group="ranges", description="tolerated"),
-        in_set("l_returnflag", ["A", "N"], group="categorical", description="flag"),
-        in_set("l_linestatus", ["F", "O"], group="categorical", description="status"),
-        table_check(
-            "expect_column_values_to_be_in_set",
-            "false",
-            description="no such column",
-            column="l_color",
-            reason="column not found",
-        ),
-        row_count("count(*) BETWEEN 1000000 AND 5000000", group="dataset", description="rows"),
-        row_count("count(*) >= 1", group="dataset", description="some rows"),
-        column_count(True, group="dataset", description="columns"),
-    ],
-)
+LINEITEM_SUITE = [
+    columns_match(True, group="schema", description="keys"),
+    columns_match(False, group="schema", description="all"),
+    not_null("l_orderkey", group="nulls", description="order"),
+    not_null("l_quantity", group="nulls", description="quantity"),
+    not_null("l_tax", 0.85, group="nulls", description="tax, mostly"),
+    between("l_extendedprice", 1000, 100000, group="ranges", description="price"),
+    between("l_tax", high=0.05, group="ranges", description="upper bound only"),
+    between("l_quantity", 2, 50, 0.95, group="ranges", description="tolerated"),
+    in_set("l_returnflag", ["A", "N"], group="categorical", description="flag"),
+    in_set("l_linestatus", ["F", "O"], group="categorical", description="status"),
+    table_check(
+        "expect_column_values_to_be_in_set",
+        "false",
+        description="no such column",
+        column="l_color",
+        reason="column not found",
+    ),
+    row_count("count(*) BETWEEN 1000000 AND 5000000", group="dataset", description="rows"),
+    row_count("count(*) >= 1", group="dataset", description="some rows"),
+    column_count(True, group="dataset", description="columns"),
+]
+LINEITEM_RESULTS = validation(LINEITEM, LINEITEM_SUITE)
 TRIP_RESULTS = validation(
     TRIPS,
     [
@@ -800,6 +864,15 @@ ORACLE = {
     "first_rows": f"SELECT * FROM {ORDERS} ORDER BY o_orderkey LIMIT 5",
     "null_profile": LINEITEM_NULLS,
     "null_profile_events": null_profile(EVENTS, inputs.EVENTS.columns),
+    "null_profile_by_day": null_profile(DAILY, inputs.LINEITEM.columns, "day"),
+    "null_summary_by_flag": null_summary(
+        null_profile(
+            LINEITEM,
+            [c for c in inputs.LINEITEM.columns if c not in ("l_returnflag", "l_linestatus")],
+            "l_returnflag, l_linestatus",
+        ),
+        "l_returnflag, l_linestatus",
+    ),
     "null_summary": null_summary(LINEITEM_NULLS),
     "columns_with_nulls": f"SELECT * FROM ({LINEITEM_NULLS}) WHERE null_count > 0",
     "duplicate_profile": duplicate_profile(DOCUMENTS, inputs.DOCUMENTS.columns, ["lang", "n_chars"]),
@@ -817,6 +890,8 @@ ORACLE = {
     "outlier_profile_infinite": INFINITE_OUTLIERS,
     "outlier_profile": LINEITEM_OUTLIERS,
     "outlier_profile_all_numeric": outlier_profile(LINEITEM, LINEITEM_NUMBERS),
+    "outlier_profile_by_flag": outlier_profile_by(LINEITEM, OUTLIER_COLUMNS, "l_returnflag"),
+    "outlier_profile_by_day": outlier_profile_by(DAILY, ["l_extendedprice"], "day"),
     "outlier_profile_exact": exact_outlier_profile(LARGE, {"price": 100, "far_key": 1}),
     "quantile_profile": quantile_profile(LARGE, list(inputs.LARGE.columns), [0, 1, 2, 3, 4]),
     "outlier_profile_events": outlier_profile(EVENTS, ["value"]),
@@ -846,6 +921,9 @@ ORACLE = {
         PART,
         [("1 <= p_size <= 40", "p_size", "1 <= p_size <= 40", "p_size NOT BETWEEN 1 AND 40", "critical")],
     ),
+    "rule_profile_by_day": rule_profile(
+        f"(SELECT *, CAST(l_shipdate AS DATE) AS day FROM {SHIPMENTS})", SHIPMENT_CHECKS, "day"
+    ),
     "rule_summary": rule_summary(SHIPMENT_RULES),
     "failed_rules": f"SELECT * FROM ({SHIPMENT_RULES}) WHERE violations > 0",
     "exploration_checks": checks(
@@ -860,6 +938,13 @@ ORACLE = {
         },
     ),
     "health_score": health_score(null_profile(SHIPMENTS, inputs.SHIPMENTS.columns), SHIPMENT_RULES),
+    "health_score_by_status": health_score_by(
+        null_profile(
+            SHIPMENTS, [c for c in inputs.SHIPMENTS.columns if c != "l_linestatus"], "l_linestatus"
+        ),
+        rule_profile(SHIPMENTS, SHIPMENT_CHECKS, "l_linestatus"),
+        "l_linestatus",
+    ),
     "health_score_without_rules": health_score(LINEITEM_NULLS, None),
     "expect_columns": validation(
         LINEITEM, [columns_match(True), columns_match(False), column_count(True)]
@@ -877,6 +962,12 @@ ORACLE = {
     ),
     "expect_mostly": validation(PART, [between("p_size", 1, 48, 0.95), between("p_size", 1, 48)]),
     "validation_results": LINEITEM_RESULTS,
+    "validation_by_day": validation(
+        DAILY, [*LINEITEM_SUITE[:-1], column_count(False, group="dataset", description="columns")], "day"
+    ),
+    "validation_summary_by_flag": validation_summary(
+        validation(LINEITEM, LINEITEM_SUITE, "l_returnflag"), "l_returnflag"
+    ),
     "validation_summary": validation_summary(LINEITEM_RESULTS),
     "failed_details": f"SELECT * FROM ({LINEITEM_RESULTS}) WHERE NOT passed",
     "describe": describe(LINEITEM, {c: i for i, c in enumerate(LINEITEM_NUMBERS)}),

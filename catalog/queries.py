@@ -133,6 +133,16 @@ def columns_with_nulls(spark, folder):
     return tv.columns_with_nulls(null_profile(spark, folder))
 
 
+def null_profile_by_day(spark, folder):
+    return tv.null_profile(inputs.DAILY.frame(spark, folder), by=["day"])
+
+
+def null_summary_by_flag(spark, folder):
+    """Rows without a flag are a group."""
+    by = ["l_returnflag", "l_linestatus"]
+    return tv.null_summary(tv.null_profile(_lineitem(spark, folder), by=by), by=by)
+
+
 # Duplicates
 
 
@@ -184,6 +194,14 @@ def outlier_profile_infinite(spark, folder):
     return tv.outlier_profile(inputs.SIGNED.frame(spark, folder), ["endless"])
 
 
+def outlier_profile_by_flag(spark, folder):
+    return tv.outlier_profile(_lineitem(spark, folder), OUTLIER_COLUMNS, by=["l_returnflag"])
+
+
+def outlier_profile_by_day(spark, folder):
+    return tv.outlier_profile(inputs.DAILY.frame(spark, folder), ["l_extendedprice"], by=["day"])
+
+
 def outlier_profile_exact(spark, folder):
     """Whole numbers and decimals that doubles cannot tell apart."""
     return tv.outlier_profile(inputs.LARGE.frame(spark, folder), ["price", "far_key"])
@@ -225,6 +243,11 @@ def rule_profile_part(spark, folder):
     return tv.rule_profile(inputs.PART.frame(spark, folder), [in_range("p_size", 1, 40)])
 
 
+def rule_profile_by_day(spark, folder):
+    shipments = inputs.SHIPMENTS.frame(spark, folder).withColumn("day", F.to_date("l_shipdate"))
+    return tv.rule_profile(shipments, shipment_rules(), by=["day"])
+
+
 def rule_summary(spark, folder):
     return tv.rule_summary(rule_profile(spark, folder))
 
@@ -245,6 +268,13 @@ def health_score(spark, folder):
     return tv.health_score(tv.null_profile(shipments), tv.rule_profile(shipments, shipment_rules()))
 
 
+def health_score_by_status(spark, folder):
+    shipments = inputs.SHIPMENTS.frame(spark, folder)
+    by = ["l_linestatus"]
+    nulls = tv.null_profile(shipments, by=by)
+    return tv.health_score(nulls, tv.rule_profile(shipments, shipment_rules(), by=by), by=by)
+
+
 def health_score_without_rules(spark, folder):
     lineitem = _lineitem(spark, folder)
     return tv.health_score(tv.null_profile(lineitem), tv.rule_profile(lineitem, []))
@@ -270,6 +300,15 @@ def validation_results(spark, folder):
     return tv.validate(_lineitem(spark, folder), lineitem_suite())
 
 
+def validation_by_day(spark, folder):
+    return tv.validate(inputs.DAILY.frame(spark, folder), lineitem_suite(), by=["day"])
+
+
+def validation_summary_by_flag(spark, folder):
+    results = tv.validate(_lineitem(spark, folder), lineitem_suite(), by=["l_returnflag"])
+    return tv.validation_summary(results, run_time(), by=["l_returnflag"]).drop("validated_at")
+
+
 def validation_summary(spark, folder):
     summary = tv.validation_summary(validation_results(spark, folder), run_time())
     return summary.drop("validated_at")
@@ -463,6 +502,8 @@ QUERIES = {
         null_profile_events,
         null_summary,
         columns_with_nulls,
+        null_profile_by_day,
+        null_summary_by_flag,
         duplicate_profile,
         duplicate_profile_clean,
         key_duplicates,
@@ -472,6 +513,8 @@ QUERIES = {
         outlier_profile_infinite,
         outlier_profile_all_numeric,
         outlier_profile_events,
+        outlier_profile_by_flag,
+        outlier_profile_by_day,
         outlier_profile_exact,
         quantile_profile,
         outlier_summary,
@@ -480,13 +523,17 @@ QUERIES = {
         rule_profile_orders,
         rule_profile_customer,
         rule_profile_part,
+        rule_profile_by_day,
         rule_summary,
         failed_rules,
         exploration_checks,
         health_score,
+        health_score_by_status,
         health_score_without_rules,
         expect_mostly,
         validation_results,
+        validation_by_day,
+        validation_summary_by_flag,
         validation_summary,
         failed_details,
         describe,

@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 
 from tabvitals.functions.numeric import column, normalise, number, percent, round_columns
 from tabvitals.functions.text import literal
-from tabvitals.operators.measure import ROWS, Aggregates, measure, row_count, to_rows
+from tabvitals.operators.measure import (
+    ROWS,
+    Aggregates,
+    measure,
+    row_count,
+    to_rows,
+    unambiguous,
+)
 from tabvitals.operators.overview import run_time
 
 # Names under which the results are reported.
@@ -123,7 +130,9 @@ def _table_outcome(e: Expectation, df: DataFrame) -> str:
     return " AND ".join(bounds) or "True"
 
 
-def validation_rows(measured: DataFrame, df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
+def validation_rows(
+    measured: DataFrame, df: DataFrame, suite: Sequence[Expectation], by: Sequence[str] = ()
+) -> DataFrame:
     entries = []
     for i, e in enumerate(suite):
         unexpected, considered, reason = "0L", "0L", None
@@ -149,13 +158,14 @@ def validation_rows(measured: DataFrame, df: DataFrame, suite: Sequence[Expectat
         )
     good_share = F.expr("(considered - unexpected) / nullif(considered, 0)")
     judged = (
-        to_rows(measured, entries, _MEASURED)
+        to_rows(measured, entries, _MEASURED, by)
         .withColumn("passed", F.coalesce("holds", good_share >= F.col("mostly"), F.lit(True)))
         .withColumn("violation_pct", percent("unexpected", "considered"))
     )
     # What `mostly` tolerates is not reported.
     reported = F.expr("NOT passed AND holds IS NULL")
     return round_columns(judged, {"violation_pct": 2}).select(
+        *map(column, by),
         "ordinal",
         "expectation",
         "column",
@@ -168,19 +178,29 @@ def validation_rows(measured: DataFrame, df: DataFrame, suite: Sequence[Expectat
     )
 
 
-def validate(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
-    """A row per expectation, in suite order. Failed expectations carry their violations."""
+def validate(
+    df: DataFrame, suite: Sequence[Expectation], by: Sequence[str] = ()
+) -> DataFrame:
+    """A row per expectation, in suite order. Failed expectations carry their violations.
+
+    With `by`, every group is validated as a table of its own that has all columns.
+    """
     df = normalise(df)
-    return validation_rows(measure(df, row_count() | expectation_aggregates(df, suite)), df, suite)
+    measured = measure(df, row_count() | expectation_aggregates(df, suite), by=by)
+    return unambiguous(validation_rows(measured, df, suite, by))
 
 
-def validation_summary(results: DataFrame, validated_at: Column | None = None) -> DataFrame:
-    """One row: time, expectations evaluated, passed, failed, success in percent (1 decimal)."""
-    counts = results.agg(
+def validation_summary(
+    results: DataFrame, validated_at: Column | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """One row, or one per group: time, expectations evaluated, passed, failed, success in percent
+    (1 decimal)."""
+    counts = results.groupBy(*map(column, by)).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("passed")).alias("passed"),
         F.count_if(~F.col("passed")).alias("failed"),
     ).select(
+        *map(column, by),
         run_time(validated_at).alias("validated_at"),
         "total",
         "passed",

@@ -1,10 +1,13 @@
 """The shared scan: many named aggregates of one table, computed together into one row."""
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabvitals.functions.numeric import column, quoted
+
 ROWS = "rows"
 
 # An aggregate by name, with the position of the (first) column it reads.
@@ -20,36 +23,65 @@ def row_count() -> Aggregates:
     return {ROWS: (0, F.count(F.lit(1)))}
 
 
-def measure(df: DataFrame, aggregates: Aggregates, per_scan: int = PER_SCAN) -> DataFrame:
-    """One row with a column per named aggregate.
+def group_name(place: int) -> str:
+    """The name of a grouping column beside the aggregates, whose names have no space."""
+    return f"group {place}"
+
+
+def measure(
+    df: DataFrame, aggregates: Aggregates, per_scan: int = PER_SCAN, by: Sequence[str] = ()
+) -> DataFrame:
+    """One row with a column per named aggregate, or one row per group with `by`.
 
     Slices follow column order, so each reads mostly columns the others do not.
     """
     names = sorted(aggregates, key=lambda name: aggregates[name][0])
     slices = [names[i : i + per_scan] for i in range(0, len(names), per_scan)]
-    return merge_rows([df.agg(*[aggregates[n][1].alias(n) for n in part]) for part in slices])
+    groups = df.groupBy(*[column(c).alias(group_name(i)) for i, c in enumerate(by)])
+    parts = [groups.agg(*[aggregates[n][1].alias(n) for n in part]) for part in slices]
+    return merge_rows(parts, len(by))
 
 
-def merge_rows(parts: list[DataFrame]) -> DataFrame:
-    """One-row frames with different columns, put side by side without a join."""
+def merge_rows(parts: list[DataFrame], groups: int = 0) -> DataFrame:
+    """One-row frames with different columns, put side by side without a join; or rows by group."""
     if len(parts) == 1:
         return parts[0]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return stacked.agg(*[F.max(n).alias(n) for n in stacked.columns])
+    keys = [group_name(i) for i in range(groups)]
+    others = [n for n in stacked.columns if n not in keys]
+    return stacked.groupBy(*keys).agg(*[F.max(n).alias(n) for n in others])
 
 
-def to_rows(measured: DataFrame, entries: list[dict[str, str]], schema: str) -> DataFrame:
+def to_rows(
+    measured: DataFrame, entries: list[dict[str, str]], schema: str, by: Sequence[str] = ()
+) -> DataFrame:
     """Turn the measured row into one row per entry, numbered in `ordinal` from 0.
 
-    An entry gives the SQL expression of each field.
+    An entry gives the SQL expression of each field. With `by`, each group's row is turned into
+    such rows, which have the group's columns first.
     """
+    if by:
+        groups = [f"{quoted(group_name(i))} AS {quoted(c)}" for i, c in enumerate(by)]
+        if not entries:
+            fields = ", ".join(f"`{f.split()[0]}`: {f.split()[1]}" for f in schema.split(", "))
+            nothing = f"CAST(array() AS ARRAY<STRUCT<ordinal: INT, {fields}>>)"
+            return measured.selectExpr(*groups, f"inline({nothing})")
     if not entries:
         return measured.sparkSession.createDataFrame([], f"ordinal int, {schema}")
     structs = [
         f"named_struct('ordinal', {i}, " + ", ".join(f"'{n}', {e}" for n, e in entry.items()) + ")"
         for i, entry in enumerate(entries)
     ]
-    return measured.selectExpr(f"inline(array({', '.join(structs)}))")
+    rows = f"inline(array({', '.join(structs)}))"
+    return measured.selectExpr(*groups, rows) if by else measured.selectExpr(rows)
+
+
+def unambiguous(frame: DataFrame) -> DataFrame:
+    """The frame, whose grouping columns must not be called like the other columns of a result."""
+    repeated = {c for c in frame.columns if frame.columns.count(c) > 1}
+    if repeated:
+        raise ValueError(f"grouping columns are called like columns of the result: {repeated}")
+    return frame
 
 
 def materialise(measured: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Outliers by the interquartile-range method."""
 
 import math
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -8,9 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabvitals.functions.grading import OUTLIER_LEVELS, is_serious, level
-from tabvitals.functions.numeric import normalise, number, percent, quoted, round_columns
+from tabvitals.functions.numeric import (
+    column,
+    normalise,
+    number,
+    percent,
+    quoted,
+    round_columns,
+)
 from tabvitals.functions.text import literal
-from tabvitals.operators.measure import Aggregates, measure, row_count, to_rows
+from tabvitals.operators.grouped import measured_by
+from tabvitals.operators.measure import Aggregates, measure, row_count, to_rows, unambiguous
 from tabvitals.operators.overview import numeric_columns
 from tabvitals.operators.quantiles import Family, Value, exact_quantiles, family_of
 
@@ -84,10 +93,21 @@ def outlier_aggregates(df: DataFrame, limits: dict[str, Fences]) -> Aggregates:
     return result
 
 
-def outlier_rows(measured: DataFrame, limits: dict[str, Fences]) -> DataFrame:
+def outlier_rows(measured: DataFrame, limits: Mapping[str, Fences]) -> DataFrame:
+    shown = {
+        name: {key: number(value) for key, value in limit.shown.items()}
+        for name, limit in limits.items()
+    }
+    return _rows(measured, shown)
+
+
+def _rows(
+    measured: DataFrame, limits: Mapping[str, dict[str, str]], by: Sequence[str] = ()
+) -> DataFrame:
+    """A row per column; `limits` gives the SQL of its quartiles and fences."""
     entries = [
         {"column_name": literal(name)}
-        | {key: number(value) for key, value in limit.shown.items()}
+        | limit
         | {
             "outliers_low": f"low_{i}",
             "outliers_high": f"high_{i}",
@@ -98,12 +118,13 @@ def outlier_rows(measured: DataFrame, limits: dict[str, Fences]) -> DataFrame:
         for i, (name, limit) in enumerate(limits.items())
     ]
     shares = (
-        to_rows(measured, entries, _SCHEMA)
+        to_rows(measured, entries, _SCHEMA, by)
         .withColumn("total_outliers", F.col("outliers_low") + F.col("outliers_high"))
         .withColumn("outlier_pct", percent("total_outliers", "valid"))
     )
     values = ["q1", "q3", "iqr", "lower_fence", "upper_fence", "actual_min", "actual_max"]
     return round_columns(shares, dict.fromkeys(values, 4) | {"outlier_pct": 2}).select(
+        *map(column, by),
         "ordinal",
         "column_name",
         *values[:5],
@@ -116,14 +137,25 @@ def outlier_rows(measured: DataFrame, limits: dict[str, Fences]) -> DataFrame:
     )
 
 
-def outlier_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def outlier_profile(
+    df: DataFrame, columns: list[str] | None = None, by: Sequence[str] = ()
+) -> DataFrame:
     """A row per column: quartiles, fences, values outside them, range, severity.
 
     Without `columns`, the int, bigint, decimal and double columns are checked. Shares are of the
     non-missing values. Whole numbers and decimals are compared exactly, at any size; figures are
     shown as doubles.
+
+    With `by`, a row per group and column, with the quartiles and fences of the group; values are
+    then compared as doubles, and grouping columns are not checked by themselves.
     """
-    limits = fences(df, numeric_columns(df) if columns is None else columns)
+    if columns is None:
+        columns = [c for c in numeric_columns(df) if c not in by]
+    if by:
+        limits = {c: {k: f"{k}_{i}" for k in _LIMITS} for i, c in enumerate(columns)}
+        measured = measured_by(normalise(df), columns, by, FENCE_FACTOR)
+        return unambiguous(_rows(measured, limits, by))
+    limits = fences(df, columns)
     df = normalise(df)
     return outlier_rows(measure(df, row_count() | outlier_aggregates(df, limits)), limits)
 

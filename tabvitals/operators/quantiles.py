@@ -39,7 +39,7 @@ WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 # The sketch keeps some 3 * K values. At most one in a hundred is off by more than this share of
 # the rows, and brackets reach twice as far.
 _K = 16_384
-_ERROR = 2.296 / _K**0.9021
+ERROR = 2.296 / _K**0.9021
 _BINS = 65_536
 _SHARE = f"least(floor(way / length * {_BINS}), {_BINS - 1}D)"
 # The ends of a range have bins of their own, so that every cut takes values away.
@@ -212,7 +212,7 @@ def exact_quantiles(
 def approximate_quantiles(
     df: DataFrame, columns: list[str], probabilities: list[float]
 ) -> dict[str, list[float | None]]:
-    """Quantiles of the sketches alone: one scan, off by `_ERROR` of the rows at most (99 in 100).
+    """Quantiles of the sketches alone: one scan, off by `ERROR` of the rows at most (99 in 100).
 
     Nothing is interpolated: each is a value of the column.
     """
@@ -244,7 +244,7 @@ def _of_family(
     df: DataFrame, family: Family, names: list[str], probabilities: list[float]
 ) -> list[_Column]:
     values = df.selectExpr(*[f"{family.values(quoted(c))} AS {quoted(c)}" for c in names])
-    margin, todo, done = 2 * _ERROR, names, []
+    margin, todo, done = 2 * ERROR, names, []
     while todo:
         columns = _bracketed(values, family, todo, probabilities, margin)
         share = 2 * margin * len(probabilities)

@@ -17,7 +17,14 @@ from tabvitals.functions.numeric import (
     rounded_scaled,
 )
 from tabvitals.functions.text import literal
-from tabvitals.operators.measure import ROWS, Aggregates, measure, row_count, to_rows
+from tabvitals.operators.measure import (
+    ROWS,
+    Aggregates,
+    measure,
+    row_count,
+    to_rows,
+    unambiguous,
+)
 
 
 @dataclass(frozen=True)
@@ -111,7 +118,9 @@ def rule_aggregates(df: DataFrame, rules: Sequence[Rule]) -> Aggregates:
     return {f"rule_{i}": (first[i], F.count_if(r.violation)) for i, r in enumerate(rules)}
 
 
-def rule_rows(measured: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def rule_rows(
+    measured: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()
+) -> DataFrame:
     entries = [
         {
             "rule_name": literal(r.name),
@@ -127,10 +136,11 @@ def rule_rows(measured: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         "rule_name string, column string, rule string, violations bigint, "
         "row_count bigint, on_fail string"
     )
-    shares = to_rows(measured, entries, schema).withColumn(
+    shares = to_rows(measured, entries, schema, by).withColumn(
         "violation_pct", percent("violations", "row_count")
     )
     return round_columns(shares, {"violation_pct": 2}).select(
+        *map(column, by),
         "ordinal",
         "rule_name",
         "column",
@@ -144,15 +154,17 @@ def rule_rows(measured: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def rule_profile(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """A row per applicable rule: violations, their share of all rows, severity."""
+def rule_profile(df: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()) -> DataFrame:
+    """A row per applicable rule, or per group and rule: violations, their share of all rows of
+    the group, severity."""
     df = normalise(df)
     rules = applicable(df, rules)
-    return rule_rows(measure(df, row_count() | rule_aggregates(df, rules)), rules)
+    measured = measure(df, row_count() | rule_aggregates(df, rules), by=by)
+    return unambiguous(rule_rows(measured, rules, by))
 
 
-def rule_summary(profile: DataFrame) -> DataFrame:
-    return profile.agg(
+def rule_summary(profile: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return profile.groupBy(*map(column, by)).agg(
         F.count(F.lit(1)).alias("rules_checked"),
         F.count_if(F.col("violations") == 0).alias("rules_passed"),
         F.count_if(F.col("violations") > 0).alias("rules_failed"),

@@ -194,7 +194,7 @@ def test_quantile_profile(spark):
 
 def test_brackets_that_miss_are_widened(spark, monkeypatch):
     """With a margin far below the sketch's error, the first brackets miss; the answer is the same."""
-    monkeypatch.setattr(quantiles, "_ERROR", 1e-9)
+    monkeypatch.setattr(quantiles, "ERROR", 1e-9)
     monkeypatch.setattr(quantiles, "_K", 8)
     df = spark.range(100_001).selectExpr("CAST(pmod(id * 7919, 100001) AS DOUBLE) AS v")
     assert quantiles.exact_quantiles(df, ["v"], [0.25, 0.5]) == {"v": [25_000.0, 50_000.0]}
