@@ -26,6 +26,8 @@ OVERVIEW_LINES = (
     ("Rows         : %s", "n:row_count"),
     ("Columns      : %s", "d:column_count"),
     ("Profiled at  : %s", "s:profiled_at"),
+)
+HEALTH_LINES = (
     ("Health score : %s / 100  (Grade %s)", "f:score", "s:grade"),
     ("",),
 )
@@ -171,17 +173,17 @@ def findings_text(sections: Mapping[str, DataFrame]) -> DataFrame:
     head = sections["overview"].withColumn(
         "profiled_at", F.regexp_replace(moment, r"\.000000$", "")
     )
-    head = head.join(sections["health"], "dataset")
     lines = [
         _lines(head, 0, OVERVIEW_LINES),
-        _lines(sections["null_summary"], 1, NULL_LINES),
-        _lines(sections["duplicates"], 2, DUPLICATE_LINES),
-        _lines(sections["outlier_summary"], 3, OUTLIER_LINES),
-        _lines(severe_outliers(sections["outliers"]), 4, SEVERE_OUTLIER_LINES, "ordinal"),
-        _lines(sections["rule_summary"], 5, RULE_LINES),
-        _lines(failed_rules(sections["rules"]), 6, FAILED_RULE_LINES, "ordinal"),
-        _lines(sections["validation_summary"], 7, VALIDATION_LINES),
-        _lines(failed_details(sections["results"]), 8, FAILED_EXPECTATION_LINES, "ordinal"),
+        _lines(sections["health"], 1, HEALTH_LINES),
+        _lines(sections["null_summary"], 2, NULL_LINES),
+        _lines(sections["duplicates"], 3, DUPLICATE_LINES),
+        _lines(sections["outlier_summary"], 4, OUTLIER_LINES),
+        _lines(severe_outliers(sections["outliers"]), 5, SEVERE_OUTLIER_LINES, "ordinal"),
+        _lines(sections["rule_summary"], 6, RULE_LINES),
+        _lines(failed_rules(sections["rules"]), 7, FAILED_RULE_LINES, "ordinal"),
+        _lines(sections["validation_summary"], 8, VALIDATION_LINES),
+        _lines(failed_details(sections["results"]), 9, FAILED_EXPECTATION_LINES, "ordinal"),
     ]
     return (
         reduce(DataFrame.unionByName, lines)
