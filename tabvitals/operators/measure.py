@@ -29,7 +29,7 @@ def group_name(place: int) -> str:
 
 
 def measure(
-    df: DataFrame, aggregates: Aggregates, per_scan: int = PER_SCAN, by: Sequence[str] = ()
+    df: DataFrame, aggregates: Aggregates, per_scan: int = PER_SCAN, *, by: Sequence[str] = ()
 ) -> DataFrame:
     """One row with a column per named aggregate, or one row per group with `by`.
 
