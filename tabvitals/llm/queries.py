@@ -55,7 +55,7 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op5_bpe(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
     """Number of tokens and digests of the ids and of the decoded text of every document."""
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.coded(documents(spark, folder), bpe.load(path)).drop("ids")
+    return bpe.coded(documents(spark, folder), bpe.load(path), with_ids=False)
 
 
 def op6_katz(spark: SparkSession, folder: str) -> DataFrame:
