@@ -50,15 +50,17 @@ _ASSIGN = (
     f"({_either_case('password|passwd|secret|token|api_?key')})"
     r"""["'']? *[:=] *["'']?([A-Za-z0-9+/_.=-]+)"""
 )
-_CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Candidates that are no secrets: numbers, names, identifiers, placeholders, repeated letters.
+#: Candidates by place in the list of kinds: pattern, what they must hold, what they must not be.
+_SEGMENT = "([A-Za-z]+[0-9]{0,4}|[0-9]{0,8})"
+_UUID = "[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+_CANDIDATES = [
+    (3, "[A-Za-z0-9]{20,}", "", "^([A-Za-z]+[0-9]{0,4}|[0-9]+)$"),
+    (6, "[A-Za-z0-9+/_=-]{20,}", "[-+/_=]", f"^({_SEGMENT}([-_/=+]{_SEGMENT})*|{_UUID})$"),
+]
+#: Spans that are no secrets: placeholders, sequences, repeated letters.
 _PASSED_OVER = "|".join(
     [
-        "^[0-9+/_=-]+$",
-        "^[A-Za-z+/_=-]+$",
-        "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-        "^[A-Za-z]+[0-9]{0,4}([-_/=+][A-Za-z]*[0-9]{0,4})*$",
         _either_case("example|sample|dummy|placeholder|changeme|xxxx|abcdefgh"),
         f"{_either_case('your')}[-_]?({_either_case('key|token|secret')})|0123456789",
         *[f"[{c}{c.upper()}]{{8}}" if c.isalnum() else f"[{c}]{{8}}" for c in _LETTERS[26:]],
@@ -78,7 +80,8 @@ OP7 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 m AS (
   {_found(0, _ASSIGN, 2)} UNION ALL {_found(1, "AKIA[A-Z0-9]+", 0)}
-  UNION ALL {_found(2, "[0-9a-f]{24,}", 0)} UNION ALL {_found(3, _CANDIDATE, 0)}
+  UNION ALL {_found(2, "[0-9a-f]{24,}", 0)}
+  UNION ALL {" UNION ALL ".join(_found(k, pattern, 0) for k, pattern, _, _ in _CANDIDATES)}
 ),
 p AS (
   SELECT r, kind, unnest(list_transform(range(1, len(hits) + 1), lambda i: {{
@@ -90,29 +93,43 @@ p AS (
 s AS (SELECT r, kind, x.at AS a, x.at + length(x.hit) AS z, x.hit AS hit, x.part AS part FROM p),
 base AS (SELECT r, kind, a, z FROM s WHERE kind < 3 AND length(part) >= [6, 20, 24][kind + 1]),
 c AS (
-  SELECT r, a, hit, regexp_matches(hit, '^[0-9a-fA-F]+$') AS is_hex
-  FROM s WHERE kind = 3 AND NOT regexp_matches(hit, '{_PASSED_OVER}')
-    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = s.r AND b.a < s.z AND s.a < b.z)
+  SELECT r, a, hit, CASE WHEN kind = 6 THEN 6 WHEN regexp_matches(hit, '^[0-9a-fA-F]+$') THEN 3
+    WHEN regexp_matches(hit, '^([0-9A-Z]+|[0-9a-z]+)$') THEN 4 ELSE 5 END AS kind
+  FROM s WHERE {" OR ".join(
+    f"kind = {k} AND regexp_matches(hit, '{needed}') AND NOT regexp_matches(hit, '{names}')"
+    for k, _, needed, names in _CANDIDATES)}
 ),
 w AS (SELECT *, unnest(range(length(hit) - 19)) AS i FROM c),
 e AS (
   SELECT *, string_split(substr(hit, CAST(i AS INTEGER) + 1, 20), '') AS letters FROM w
 ),
 h AS (
-  SELECT r, a, is_hex, i, -list_sum(list_transform(list_distinct(letters), lambda l:
+  SELECT r, a, hit, kind, i, -list_sum(list_transform(list_distinct(letters), lambda l:
     len(list_filter(letters, lambda y: y = l)) / 20
     * log2(len(list_filter(letters, lambda y: y = l)) / 20))) AS bits FROM e
 ),
+reached AS (
+  SELECT r, kind, a + min(i) AS a, a + max(i) + 20 AS z,
+    substr(hit, CAST(min(i) AS INTEGER) + 1, CAST(max(i) - min(i) + 20 AS INTEGER)) AS span
+  FROM h WHERE bits >= [2.8, 3.27, 3.55, 3.65][kind - 2] GROUP BY r, h.a, hit, kind
+),
+outer_spans AS (
+  SELECT r, kind, a, z FROM reached x WHERE NOT regexp_matches(span, '{_PASSED_OVER}')
+    AND (kind < 6 OR regexp_matches(span, '[a-z]') AND regexp_matches(span, '[A-Z]')
+      AND regexp_matches(span, '[0-9]'))
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = x.r AND b.a <= x.a AND x.z <= b.z)
+),
 added AS (
-  SELECT r, CASE WHEN is_hex THEN 3 ELSE 4 END AS kind, a + min(i) AS a, a + max(i) + 20 AS z
-  FROM h WHERE bits >= CASE WHEN is_hex THEN 3.05 ELSE 3.75 END GROUP BY r, a, is_hex
+  SELECT r, kind, a, z FROM outer_spans x WHERE kind = 6 OR NOT EXISTS (
+    SELECT 1 FROM outer_spans j WHERE j.kind = 6 AND j.r = x.r AND j.a <= x.a AND x.z <= j.z)
 ),
 everything AS (SELECT * FROM base UNION ALL SELECT * FROM added),
 lists AS (
   SELECT r, CAST(count_if(kind = 0) AS BIGINT) AS n_assign,
     CAST(count_if(kind = 1) AS BIGINT) AS n_access,
     CAST(count_if(kind = 2) AS BIGINT) AS n_hex,
-    string_agg(['assign', 'access', 'hex', 'entropy_hex', 'entropy_mixed'][kind + 1]
+    string_agg(['assign', 'access', 'hex', 'entropy_hex', 'entropy_single', 'entropy_mixed',
+      'entropy_joined'][kind + 1]
       || ':' || a || ':' || z, ',' ORDER BY a, kind) AS spans,
     coalesce(string_agg(['assign', 'access', 'hex'][kind + 1] || ':' || a || ':' || z, ','
       ORDER BY a, kind) FILTER (kind < 3), '') AS base
