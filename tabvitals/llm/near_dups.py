@@ -11,10 +11,12 @@ texts form a group. Sets are 64-bit hashes of whole texts; links are confirmed o
    copied from. Candidates are the links from hub to member, a star: as many as members.
 3. Links are confirmed, and their components found. Buckets whose members are all in one component
    by now are settled, the large ones among them.
-4. In the other buckets, members of different components are compared without writing pairs out:
-   members are dealt into blocks of `BLOCK`, and a task gets two blocks of a bucket, compares
-   across components and gives back links only. A pair is compared in the first band it shares.
-   So no link between classes that share a bucket is lost, and no group meets in one task.
+4. In the other buckets, the members outside of the bucket's largest component are compared with
+   all others, across components only and without writing pairs out: they are dealt into blocks, the
+   members too, and a task gets a block of each and gives back links only. A pair is compared in the
+   first band it shares, and buckets with the same members once. So no link between classes that
+   share a bucket is lost, no group meets in one task, and an outsider in a large family costs as
+   many comparisons as the family has members.
 
 Two sets at the limit share no bucket with a probability of 5e-8.
 """
@@ -35,7 +37,7 @@ from tabvitals.llm.sketch import band_keys, fingerprint
 
 WIDTH = 5  # words in a shingle
 PERCENT = 80  # least similarity
-BLOCK = 1024  # members of a bucket that a task compares with as many others
+BLOCK = 1024  # outsiders of a bucket that a task compares with as many members
 
 
 def shingles(text: str | None, width: int, hashes: WordHashes) -> np.ndarray:
@@ -116,7 +118,7 @@ def classes(sketches: DataFrame) -> DataFrame:
 
 def members(nodes: DataFrame) -> DataFrame:
     """Written: the classes of each bucket that has several, and the bucket's size."""
-    rows = nodes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
+    rows = nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     return written(rows.join(sizes, "bucket"), "members")
 
@@ -170,6 +172,84 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return written(rows, "links")
 
 
+def open_buckets(labelled: DataFrame) -> DataFrame:
+    """Buckets whose members are in several components: bucket, band, largest, n and n_outside.
+
+    Of buckets with the same members the first stays. `largest` is the component with the most
+    members (n_outside are in others), of equal ones that with the largest number.
+    """
+    parts = labelled.groupBy("bucket", "component").agg(
+        F.count("*").alias("n"),
+        F.min("band").alias("band"),
+        F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+    )
+    buckets = (
+        parts.groupBy("bucket")
+        .agg(
+            F.max(F.struct("n", "component")).alias("top"),
+            F.count("*").alias("components"),
+            F.sum("n").alias("n"),
+            F.min("band").alias("band"),
+            F.bit_xor("one").alias("one"),
+            F.bit_xor("two").alias("two"),
+        )
+        .filter("components > 1")
+    )
+    n_outside = (F.col("n") - F.col("top.n")).alias("n_outside")
+    kept = F.min(F.struct("band", "bucket", "top.component", n_outside))
+    return (
+        buckets.groupBy("one", "two", "n")
+        .agg(kept.alias("kept"))
+        .select(
+            F.col("kept.bucket").alias("bucket"),
+            F.col("kept.band").alias("band"),
+            F.col("kept.component").alias("largest"),
+            "n",
+            F.col("kept.n_outside").alias("n_outside"),
+        )
+    )
+
+
+def dealt(labelled: DataFrame, buckets: DataFrame) -> DataFrame:
+    """A row for each task that a member takes part in, with the outsiders' block and the members'.
+
+    `asks` members are compared with all in the task that are `asked`, an outsider with other
+    outsiders of larger numbers only.
+    """
+    members = F.ceil(F.col("n") / BLOCK).cast("int")
+    outsiders = F.ceil(F.col("n_outside") / BLOCK).cast("int")
+    rows = labelled.join(buckets, "bucket").select(
+        "bucket",
+        "band",
+        "node",
+        "n_shingles",
+        "component",
+        (F.col("component") != F.col("largest")).alias("outside"),
+        F.pmod(F.xxhash64("node"), members).cast("int").alias("mine"),
+        F.pmod(F.xxhash64("node", F.lit(1)), outsiders).cast("int").alias("own"),
+        members.alias("members"),
+        outsiders.alias("outsiders"),
+    )
+
+    def task(low: Column, high: Column, asks: Column, asked: Column) -> Column:
+        return F.struct(
+            low.alias("low"), high.alias("high"), asks.alias("asks"), asked.alias("asked")
+        )
+
+    outside, own, mine = F.col("outside"), F.col("own"), F.col("mine")
+    as_member = F.transform(
+        F.sequence(F.lit(0), F.col("outsiders") - 1),
+        lambda low: task(low, mine, outside & (low == own), F.lit(True)),
+    )
+    elsewhere = F.filter(F.sequence(F.lit(0), F.col("members") - 1), lambda high: high != mine)
+    as_outsider = F.transform(elsewhere, lambda high: task(own, high, F.lit(True), F.lit(False)))
+    tasks = F.when(outside, F.concat(as_member, as_outsider)).otherwise(as_member)
+    return rows.select(
+        "bucket", "band", "node", "n_shingles", "component", "outside", F.inline(tasks)
+    )
+
+
 def rest(
     found: DataFrame,
     nodes: DataFrame,
@@ -182,50 +262,34 @@ def rest(
     labelled = found.join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
-    open_buckets = (
-        labelled.groupBy("bucket")
-        .agg(F.min("component").alias("first"), F.max("component").alias("last"))
-        .filter("first < last")
-        .select("bucket")
-    )
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = (
-        labelled.join(open_buckets, "bucket")
-        .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "bucket",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
-            "block",
-            "node",
-            "component",
-        )
-    )
-    rows = dealt.join(nodes.select("node", "bands"), "node").join(texts, "node")
+    labelled = written(labelled, "labelled")
+    tasks = dealt(labelled.drop("band"), written(open_buckets(labelled), "open"))
+    rows = tasks.join(nodes.select("node", "bands"), "node").join(texts, "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        bucket, low, high = (int(group[c].iloc[0]) for c in ("bucket", "low", "high"))
         group = group.sort_values("node", ignore_index=True)
-        hashes = WordHashes()
-        sets = [shingles(t, width, hashes) for t in group["text"]]
+        hashes, sets = WordHashes(), {}
+        band = int(group["band"].iloc[0])
         bands = np.array(group["bands"].tolist(), np.int64)
-        sizes = np.array([len(s) for s in sets])
-        own, block = group["component"].to_numpy().copy(), group["block"].to_numpy()
-        nodes, links = group["node"].tolist(), []
-        place = int(np.flatnonzero(bands[0] == bucket)[0])
-        for i in range(len(sets)):
+        nodes, sizes = group["node"].to_numpy(), group["n_shingles"].to_numpy()
+        own, outside = group["component"].to_numpy().copy(), group["outside"].to_numpy()
+        asked, links = group["asked"].to_numpy(), []
+
+        def set_of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(group["text"].iloc[i], width, hashes)
+            return sets[i]
+
+        for i in np.flatnonzero(group["asks"]).tolist():
             others = np.flatnonzero(
-                (own[i + 1 :] != own[i])
-                & (100 * np.minimum(sizes[i + 1 :], sizes[i])
-                   >= percent * np.maximum(sizes[i + 1 :], sizes[i]))
-            ) + i + 1
-            if low < high:
-                others = others[block[others] != block[i]]
-            if len(others):
-                others = others[(bands[others] == bands[i]).argmax(axis=1) == place]
+                asked
+                & (own != own[i])
+                & (~outside | (nodes > nodes[i]))
+                & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
+            )
+            others = others[(bands[others] == bands[i]).argmax(axis=1) == band]
             for j in others.tolist():
-                if own[j] != own[i] and linked(sets[i], sets[j], percent):
+                if own[j] != own[i] and linked(set_of(i), set_of(j), percent):
                     links.append((nodes[i], nodes[j]))
                     own[own == own[j]] = own[i]
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")

@@ -141,3 +141,55 @@ def test_components(spark):
         **{i: 100 for i in [200, *range(100, 160)]},
         **{i: 300 for i in range(300, 307)},
     }
+
+
+def family(n, outsiders, seed=5):
+    """Near copies of a text, and texts that share buckets with them but are below the limit."""
+    rnd = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    original = rnd.choices(vocabulary, k=120)
+
+    def edited(k):
+        mine = list(original)
+        for at in rnd.sample(range(len(mine)), k):
+            mine[at] = rnd.choice(vocabulary)
+        return " ".join(mine)
+
+    return [edited(3) for _ in range(n)] + [edited(20) for _ in range(outsiders)]
+
+
+def tasks_of(spark, texts):
+    """Rows dealt to tasks by comparing what stars leave over, and the number of components."""
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    sketches = near_dups.sketched(frame, "doc_id", "text", 2)
+    nodes = near_dups.classes(sketches)
+    found = near_dups.members(nodes)
+    texts = near_dups.texts_of(frame, "doc_id", "text", nodes.select("node", "row_hash", "text_hash"))
+    labels = components(near_dups.confirmed(near_dups.stars(found), texts, 2, 80))
+    labelled = found.join(labels, "node", "left").withColumn(
+        "component", near_dups.F.coalesce("component", "node")
+    )
+    return near_dups.dealt(labelled.drop("band"), near_dups.open_buckets(labelled))
+
+
+def test_an_outsider_costs_a_family_one_comparison_each(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK", 64)
+    texts = family(1500, 2)
+    rows = tasks_of(spark, texts)
+    per_bucket = rows.groupBy("bucket").count().collect()
+    sizes = {r.bucket: r["count"] for r in per_bucket}
+    assert sizes  # the outsiders do share buckets
+    for r in rows.select("bucket", "n_shingles").distinct().collect():
+        assert sizes[r.bucket] <= len(texts) * 1.2 + 100
+    tasks = rows.groupBy("bucket", "low", "high").count().agg({"count": "max"}).first()[0]
+    assert tasks < 64 * 4  # blocks are small, whatever the family
+
+
+def test_buckets_with_the_same_members_are_compared_once(spark):
+    labelled = spark.createDataFrame(
+        [(n, b, b, c) for b in (7, 9, 11) for n, c in ((1, 1), (2, 2), (3, 2))] + [(1, 20, 0, 1), (3, 20, 0, 2)],
+        "node bigint, bucket bigint, band int, component bigint",
+    )
+    out = {tuple(r) for r in near_dups.open_buckets(labelled).collect()}
+    assert out == {(7, 7, 2, 3, 1), (20, 0, 2, 2, 1)}
+
