@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from tabvitals.functions.grading import KEY_DUPLICATE_LIMIT
 from tabvitals.functions.numeric import column, normalise, percent, round_columns
-from tabvitals.operators.measure import ROWS, merge_rows
+from tabvitals.operators.measure import ROWS
 from tabvitals.operators.overview import names
 
 
@@ -14,8 +14,7 @@ def count_repeats(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row (repeats, rows) of grouping by `columns`, where NULL equals NULL.
 
     The grouping collapses copies before the shuffle, so a row copied a billion times reaches
-    the exchange once per task. Grouping by all columns would move the whole table, though:
-    `full_duplicates` avoids that.
+    the exchange once per task.
     """
     return (
         _comparable(df.select(*[column(c) for c in columns]))
@@ -70,21 +69,10 @@ def _canonical(value: Column, data_type: T.DataType) -> Column:
     return F.struct(missing, value.alias("value"))
 
 
-def _digest(df: DataFrame) -> list[Column]:
-    """128 bits of each row: two hashes with seeds of their own, equal for equal rows."""
-    values = [_canonical(column(f.name), f.dataType) for f in df.schema.fields]
-    return [F.xxhash64(F.lit(seed), *values).alias(f"digest_{seed}") for seed in (1, 2)]
-
-
-def full_duplicates(df: DataFrame) -> DataFrame:
-    """One row (repeats) over all columns, in one scan and without shuffling whole rows.
-
-    Rows are counted by a digest of 128 bits, so a row takes 24 bytes of the shuffle whatever its
-    width, and copies collapse before it. Among 10 ** 13 rows, the probability that any two
-    different ones have the same digest is below 10 ** -12.
-    """
-    marked = df.select(*_digest(df))
-    return count_repeats(marked, marked.columns).select("repeats")
+def _digest(df: DataFrame, columns: list[str], name: str) -> list[Column]:
+    """128 bits of the columns: two hashes with seeds of their own, equal for equal values."""
+    values = [_canonical(column(c), df.schema[c].dataType) for c in columns]
+    return [F.xxhash64(F.lit(seed), *values).alias(f"{name}{seed}") for seed in (1, 2)]
 
 
 def _key_repeats(df: DataFrame, key_columns: list[str]) -> DataFrame:
@@ -96,10 +84,28 @@ def _key_repeats(df: DataFrame, key_columns: list[str]) -> DataFrame:
 
 
 def duplicate_measures(df: DataFrame, key_columns: list[str]) -> DataFrame:
-    """One row: full_repeats and key_repeats of a normalised table, and its row count."""
-    full = full_duplicates(df).select(F.col("repeats").alias("full_repeats"))
-    keys = _key_repeats(df, key_columns).withColumnRenamed("repeats", "key_repeats")
-    return merge_rows([full, keys])
+    """One row: full_repeats and key_repeats of a normalised table, and its row count.
+
+    One scan and one exchange for both. Each row gives two digests of 128 bits, of all its columns
+    and of its key, which are counted together; so it takes two entries of some 30 bytes, whatever
+    its width. Copies collapse before the exchange: a row or key that fills a third of the table is
+    an entry per task. Among 10 ** 13 rows, the probability that any two different ones have the
+    same digest is below 10 ** -12.
+    """
+    present = [c for c in key_columns if c in df.columns]
+    digests = [*_digest(df, df.columns, "row"), *(_digest(df, present, "key") if present else [])]
+    entries = ["true, row1, row2", *(["false, key1, key2"] if present else [])]
+    counted = (
+        df.select(*digests)
+        .selectExpr(f"stack({len(entries)}, {', '.join(entries)}) AS (is_row, first, second)")
+        .groupBy("is_row", "first", "second")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    return counted.agg(
+        F.expr("coalesce(sum(IF(is_row, copies - 1, 0L)), 0L)").alias("full_repeats"),
+        F.expr("coalesce(sum(IF(is_row, 0L, copies - 1)), 0L)").alias("key_repeats"),
+        F.expr("coalesce(sum(IF(is_row, copies, 0L)), 0L)").alias(ROWS),
+    )
 
 
 def duplicate_rows(measured: DataFrame, df: DataFrame, key_columns: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import tabvitals as tv
 from tabvitals.functions import grading
-from tabvitals.operators import measure
+from tabvitals.operators import duplicates, measure
 from tabvitals.operators.rules import (
     Rule,
     expected_year,
@@ -353,3 +353,19 @@ def test_value_counts_show_missing_values(spark):
     counts = [tuple(r) for r in tv.value_counts(df, ["s", "missing", "n"]).collect()]
     assert counts == [("s", "b", 2), ("s", "a", 1), ("s", None, 1), ("n", "1", 3), ("n", "2", 1)]
     assert tv.value_counts(df, ["missing"]).count() == 0
+
+
+def test_duplicates_take_one_scan_and_one_data_exchange(spark, capsys):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    duplicates.duplicate_measures(df, ["user_id", "event_type"]).explain("simple")
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange SinglePartition") == 1
+
+
+def test_equal_parts_in_other_columns_are_no_duplicates(spark):
+    rows = [(1, None, "a"), (None, 1, "a"), (1, None, None), (1, None, None), (None, None, "a")]
+    df = spark.createDataFrame(rows, "x int, y int, z string")
+    row = one(tv.duplicate_profile(df, ["x", "y"]))
+    assert (row.full_duplicates, row.key_column_dupes) == (1, 2)
+    assert one(tv.duplicate_profile(df.limit(0), ["x"])).full_duplicates == 0
