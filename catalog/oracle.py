@@ -701,6 +701,14 @@ def value_counts(source: str, columns: list[str]) -> str:
     )
 
 
+SHIPMENT_NUMBERS = [
+    *LINEITEM_NUMBERS,
+    "part_price",
+    "part_tax",
+    "part_discount",
+    "total",
+]
+
 # Findings
 
 TRIP_NULLS = null_profile(TRIPS, inputs.TRIPS.columns)
@@ -995,6 +1003,12 @@ ORACLE = {
     "findings": FINDINGS,
     "findings_text": FINDINGS_TEXT,
     "latest_findings_text": FINDINGS_TEXT,
+    "merged_null_profile": null_profile(SHIPMENTS, inputs.SHIPMENTS.columns),
+    "merged_rule_profile": SHIPMENT_RULES,
+    "merged_moments": (
+        "SELECT * EXCLUDE (p25, p50, p75) FROM "
+        f"({describe(SHIPMENTS, {c: i for i, c in enumerate(SHIPMENT_NUMBERS)})})"
+    ),
     "saved_profile": f"SELECT 'trips' AS dataset, * FROM ({TRIP_RULES})",
     "saved_validation": (
         "SELECT 'lineitem' AS dataset, "

@@ -449,6 +449,30 @@ def saved_explanations(spark, folder):
     return tv.issue_counts(loaded, ["dataset", "answer", "overall_assessment", "parse_error"])
 
 
+def _merged_shipments(spark, folder):
+    """The state of the shipments, merged from one state for each line status and flag."""
+    path = _report_folder(spark)
+    shipments = inputs.SHIPMENTS.frame(spark, folder)
+    checks = {"rules": shipment_rules(), "suite": lineitem_suite()}
+    for flag in "ANR":
+        part = shipments.where(F.col("l_returnflag") == flag)
+        tv.save_state(part, "shipments", flag, path, **checks)
+    return tv.merged_state(spark, "shipments", path, **checks)
+
+
+def merged_null_profile(spark, folder):
+    return _merged_shipments(spark, folder).null_profile()
+
+
+def merged_rule_profile(spark, folder):
+    return _merged_shipments(spark, folder).rule_profile()
+
+
+def merged_moments(spark, folder):
+    """Count, mean, deviation and range out of merged states."""
+    return _merged_shipments(spark, folder).describe().drop("p25", "p50", "p75")
+
+
 def latest_findings_text(spark, folder):
     """The same text as of the run itself, from its saved reports."""
     path = _report_folder(spark)
@@ -555,6 +579,9 @@ QUERIES = {
         saved_profile,
         saved_validation,
         saved_explanations,
+        merged_null_profile,
+        merged_rule_profile,
+        merged_moments,
         latest_findings_text,
         latest_report,
         parse_explanations,

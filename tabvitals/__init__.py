@@ -37,11 +37,14 @@ from tabvitals.plans.profile import (
     validate_table,
     validation_report,
 )
+from tabvitals.plans.states import MergedState, merged_state, save_state
 from tabvitals.sources.reports import (
+    compact_reports,
     latest,
     load_latest_report,
     load_latest_reports,
     read_reports,
+    report_days,
     save_report,
 )
 from tabvitals.sources.tables import read_table

@@ -1,9 +1,20 @@
-"""The report table: JSON lines under one folder, partitioned by kind of report, append only."""
+"""The report table: JSON lines under one folder, partitioned by kind of report and day of run.
+
+Reports are appended. Days are those of the run's time in UTC, whatever the zone of a session, so a
+newer day has newer runs, and the newest report about a dataset is looked for from the newest day
+backwards. Many small files of a day can be put together by `compact_reports`.
+"""
+
+import re
+from collections.abc import Iterator
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabvitals.sources.scratch import written
+
 PROFILE = "profile"
 VALIDATION = "validation"
 EXPLANATIONS = "explanations"
@@ -58,21 +69,30 @@ SCHEMAS = {
 }
 
 
+_DAY = "date_from_unix_date(CAST(floor(unix_seconds(CAST(run_ts AS TIMESTAMP)) / 86400) AS INT))"
+_IN_PATH = re.compile(r"/kind=([^/]+)/day=(\d{4}-\d{2}-\d{2})/")
+
+
 def save_report(report: DataFrame, path: str, kind: str) -> None:
-    """Append report rows of a kind."""
+    """Append report rows of a kind. A report without a time has no day and counts as the oldest."""
+    dated = report.withColumn("kind", F.lit(kind)).withColumn("day", F.expr(_DAY))
+    _written(dated, path, "append")
+
+
+def _written(reports: DataFrame, path: str, mode: str) -> None:
     (
-        report.withColumn("kind", F.lit(kind))
-        .write.mode("append")
-        .partitionBy("kind")
+        reports.write.mode(mode)
+        .partitionBy("kind", "day")
         .option("ignoreNullFields", "false")
+        .option("partitionOverwriteMode", "dynamic")
         .json(path)
     )
 
 
-def _reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def _dated_reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
     try:
-        # The kind is a partition, so only its files are read.
-        schema = f"{SCHEMAS[kind]}, kind string"
+        # The kind is a partition, so only its files are read; so is the day.
+        schema = f"{SCHEMAS[kind]}, kind string, day date"
         return spark.read.schema(schema).json(path).where(F.col("kind") == kind)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -80,6 +100,41 @@ def _reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
         raise FileNotFoundError(f"no {kind} report in {path}") from error
 
 
+def _reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    return _dated_reports(spark, path, kind).drop("day")
+
+
+def report_days(spark: SparkSession, path: str, kind: str) -> list[date]:
+    """The days that have reports of a kind, newest first, from the names of folders alone."""
+    found = map(_IN_PATH.search, _dated_reports(spark, path, kind).inputFiles())
+    days = {m[2] for m in found if m and m[1] == kind}
+    return sorted(map(date.fromisoformat, days), reverse=True)
+
+
+def _newest_first(spark: SparkSession, path: str, kind: str) -> Iterator[DataFrame]:
+    """Reports of the newest day, then of the two before, the four before, and so on; at last those
+    without a day."""
+    reports, days = _dated_reports(spark, path, kind), report_days(spark, path, kind)
+    some = 1
+    while days:
+        newest, days = days[:some], days[some:]
+        yield reports.where(F.col("day").between(newest[-1], newest[0])).drop("day")
+        some *= 2
+    yield reports.where("day IS NULL").drop("day")
+
+
+def compact_reports(spark: SparkSession, path: str, kind: str, until: date) -> None:
+    """Put the reports of each day up to `until` into one file a day. No report is lost or changed.
+
+    The reports are copied to a shared folder first, as a table cannot be read and replaced at once;
+    each day's files are replaced when all new ones are written. Nothing may be saved on these days
+    at the same time.
+    """
+    old = written(_dated_reports(spark, path, kind).where(F.col("day") <= until), "reports")
+    if not old.isEmpty():
+        _written(old.repartition("day"), path, "overwrite")
+
+
 def read_reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """All reports of a kind; fails if there are none."""
     reports = _reports(spark, path, kind)
@@ -112,8 +167,12 @@ def load_latest_reports(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 def load_latest_report(spark: SparkSession, path: str, kind: str, dataset: str) -> DataFrame:
-    """The newest report of a kind about one dataset; fails if there is none."""
-    reports = _reports(spark, path, kind).where(F.col("dataset") == dataset)
-    if reports.isEmpty():
-        raise FileNotFoundError(f"no {kind} report about {dataset} in {path}")
-    return latest(reports)
+    """The newest report of a kind about one dataset; fails if there is none.
+
+    Days are read from the newest backwards until one has a report about the dataset.
+    """
+    for some in _newest_first(spark, path, kind):
+        reports = some.where(F.col("dataset") == dataset)
+        if not reports.isEmpty():
+            return latest(reports)
+    raise FileNotFoundError(f"no {kind} report about {dataset} in {path}")

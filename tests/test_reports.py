@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -161,3 +162,59 @@ Success rate      : 50.0%
   FAILED: expect_column_values_to_be_between on [x]
     Violations : 32  (82.05%)
     Rule desc  : small"""
+
+
+def _history(spark, path, rows):
+    """Saves one report per (dataset, time); the text of the answer tells them apart."""
+    for i, (dataset, at) in enumerate(rows):
+        answers = spark.createDataFrame([(dataset, at, f"answer {i}")], "dataset string, run_ts timestamp, response string")
+        tv.save_explanations(answers, path)
+
+
+def _files(path, day):
+    return len(list(path.glob(f"kind=explanations/day={day}/*.json")))
+
+
+def test_newest_report_is_looked_for_from_the_newest_day_on(spark, tmp_path, capsys):
+    path = str(tmp_path / "reports")
+    days = [dt.datetime(2024, 1, d, 23 * (d % 2)) for d in range(1, 8)]
+    _history(spark, path, [("a", d) for d in days] + [("b", days[1]), ("b", days[0]), ("c", None)])
+    assert tv.report_days(spark, path, reports.EXPLANATIONS) == [d.date() for d in reversed(days)]
+    assert tv.report_days(spark, path, reports.PROFILE) == []
+    for dataset, answer in (("a", "answer 6"), ("b", "answer 7"), ("c", "answer 9")):
+        assert tv.load_latest_report(spark, path, reports.EXPLANATIONS, dataset).first().answer == answer
+    newest = {r.dataset: r.answer for r in tv.load_latest_reports(spark, path, reports.EXPLANATIONS).collect()}
+    assert newest == {"a": "answer 6", "b": "answer 7", "c": "answer 9"}
+    with pytest.raises(FileNotFoundError):
+        tv.load_latest_report(spark, path, reports.EXPLANATIONS, "d")
+    windows = list(reports._newest_first(spark, path, reports.EXPLANATIONS))
+    assert [w.count() for w in windows] == [1, 2, 6, 1]  # days 7; 6 and 5; 4 to 1; none
+    windows[0].explain("formatted")
+    filters = re.search(r"PartitionFilters: (.*)", capsys.readouterr().out)[1]
+    assert "day" in filters and "2024-01-07" in filters
+
+
+def test_days_do_not_depend_on_the_zone_of_the_session(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    rows = [("a", dt.datetime(2024, 1, 1, 22)), ("a", dt.datetime(2024, 1, 2, 3))]
+    for zone, row in zip(("America/Los_Angeles", "Asia/Tokyo"), rows, strict=True):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            _history(spark, path, [row])
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    found = tv.load_latest_report(spark, path, reports.EXPLANATIONS, "a").first()
+    stored = tv.read_reports(spark, path, reports.EXPLANATIONS)
+    assert found.run_ts == max(r.run_ts for r in stored.collect())
+
+
+def test_compaction_keeps_all_reports(spark, tmp_path):
+    path = tmp_path / "reports"
+    _history(spark, str(path), [("a", dt.datetime(2024, 1, d, h)) for d in (1, 2, 3) for h in range(3)])
+    before = sorted(map(str, tv.read_reports(spark, str(path), reports.EXPLANATIONS).collect()))
+    assert [_files(path, f"2024-01-0{d}") for d in (1, 2, 3)] == [3, 3, 3]
+    tv.compact_reports(spark, str(path), reports.EXPLANATIONS, dt.date(2024, 1, 2))
+    assert [_files(path, f"2024-01-0{d}") for d in (1, 2, 3)] == [1, 1, 3]
+    assert sorted(map(str, tv.read_reports(spark, str(path), reports.EXPLANATIONS).collect())) == before
+    tv.compact_reports(spark, str(path), reports.EXPLANATIONS, dt.date(2023, 1, 1))  # nothing to do
+    assert sorted(map(str, tv.read_reports(spark, str(path), reports.EXPLANATIONS).collect())) == before
