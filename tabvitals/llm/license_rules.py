@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cache
 
 V = r"(?:v|version)? ?"
 
@@ -189,6 +190,42 @@ TEXTS = [
         "altered source versions must be plainly marked as such and must not be "
         "misrepresented as being the original software",
     ),
+    (
+        "gpl-2",
+        "as published by",
+        "(?:the )?gnu general public licen[cs]e as published by the free "
+        "software foundation (?:either )?version 2(?: of the licen[cs]e)?",
+    ),
+    (
+        "gpl-3",
+        "as published by",
+        "(?:the )?gnu general public licen[cs]e as published by the free "
+        "software foundation (?:either )?version 3(?: of the licen[cs]e)?",
+    ),
+    (
+        "lgpl-2",
+        "as published by",
+        "(?:the )?gnu library general public licen[cs]e as published by the free "
+        "software foundation (?:either )?version 2(?: of the licen[cs]e)?",
+    ),
+    (
+        "lgpl-2.1",
+        "as published by",
+        "(?:the )?gnu lesser general public licen[cs]e as published by the free "
+        "software foundation (?:either )?version 2 1(?: of the licen[cs]e)?",
+    ),
+    (
+        "lgpl-3",
+        "as published by",
+        "(?:the )?gnu lesser general public licen[cs]e as published by the free "
+        "software foundation (?:either )?version 3(?: of the licen[cs]e)?",
+    ),
+    (
+        "agpl-3",
+        "as published by",
+        "(?:the )?gnu affero general public licen[cs]e as published by the free "
+        "software foundation (?:either )?version 3(?: of the licen[cs]e)?",
+    ),
     (
         "gpl",
         "this program is free",
@@ -291,6 +328,10 @@ _GRANT = (
     r"(?:re)?(?:licen[cs]ed|released|distributed|available|published|provided|issued|offered)"
     r"(?: to you)? under (?:the |an? )?(?:terms (?:and conditions )?of (?:the |an? )?)?"
 )
+#: Further names that a grant lists: "under MIT or Apache 2.0".
+_LISTED = rf"{_GRANT}(?:\w+ ){{1,8}}?(?:or|and) (?:the )?"
+#: Names that are words or programs as well; "license" beside them says nothing.
+_COMMON_WORDS = {"isc", "ruby", "vim"}
 _AFTER = r"(?: (?:or (?:\(at your option\) )?(?:any )?later|only))?(?: licen[cs]e)?"
 
 
@@ -384,6 +425,7 @@ def _bare(label: str, name: str) -> Rule | None:
         keys = [frozenset(["cc0", "creative commons zero"])]
     elif label == "cc-pdm-1":
         keys = [frozenset(["public domain mark"])]
+        name = "(?:the )?(?:creative commons public domain mark|public domain mark 1 0)(?: 1 0)?"
     elif "licen" in name:
         name = _spelled_out(name)
         licen = frozenset(["licen"])
@@ -393,6 +435,7 @@ def _bare(label: str, name: str) -> Rule | None:
     return _rule(f"bare-{label}", label, rf"{_NO_OTHER}(?:{name})", keys, 5, 0.6)
 
 
+@cache
 def rules() -> list[Rule]:
     """All rules. Own texts come first, then tags, addresses, grants, and names.
 
@@ -415,8 +458,11 @@ def rules() -> list[Rule]:
         words = _literals(name)
         keys = [frozenset([" under "]), words]
         out.append(_rule(f"grant-{label}", label, granted, keys, 20, 0.85))
+        listed = rf"{_LISTED}(?:{name}){_AFTER}"
+        out.append(_rule(f"list-{label}", label, listed, keys, 15, 0.75))
         called = rf"(?:{name}) licen[cs]ed?|licen[cs]e (?:is )?(?:the )?(?:{name})"
-        out.append(_rule(f"name-{label}", label, called, [licen, words], 10, 0.7))
+        if label not in _COMMON_WORDS:
+            out.append(_rule(f"name-{label}", label, called, [licen, words], 10, 0.7))
         if bare := _bare(label, name):
             out.append(bare)
     return out

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,13 +65,18 @@ class Scanner:
         seen = {word for _, word in self.automaton.iter(f" {joined} ")}
         if not seen:
             return []
+        hits = [
+            (rule.priority, order, match.span())
+            for order, rule in enumerate(self.rules)
+            if all(group & seen for group in rule.keywords)
+            for match in rule.pattern.finditer(joined)
+        ]
+        if not hits:
+            return []
+        places = word_numbers(joined, [at for *_, span in hits for at in span])
         found = []
-        for order, rule in enumerate(self.rules):
-            if all(group & seen for group in rule.keywords):
-                for match in rule.pattern.finditer(joined):
-                    start = joined.count(" ", 0, match.start())
-                    end = start + 1 + joined.count(" ", match.start(), match.end())
-                    found.append((-rule.priority, start - end, start, order, end))
+        for (priority, order, _), start, last in zip(hits, places[::2], places[1::2], strict=True):
+            found.append((-priority, start - last - 1, start, order, last + 1))
         taken: dict[int, list[tuple[int, int]]] = {}  # by cells of the text that they reach into
         kept = []
         for _, _, start, order, end in sorted(found):
@@ -87,16 +93,25 @@ def scanner() -> Scanner:
     return Scanner(rules())
 
 
+def word_numbers(joined: str, places: list[int]) -> list[int]:
+    """The number of the word that each place of a character lies in or ends."""
+    if not places:
+        return []
+    letters = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    return np.searchsorted(np.flatnonzero(letters == 32), places).tolist()
+
+
 def base_places(joined: str, phrases: dict[str, str]) -> list[tuple[int, str]]:
     """Where the words of a phrase stand one after another: first word and label."""
-    found = []
+    places, labels = [], []
     padded = f" {joined} "
     for phrase, label in phrases.items():
         at = padded.find(f" {phrase} ")
         while at >= 0:
-            found.append((padded.count(" ", 0, at), label))
+            places.append(at)
+            labels.append(label)
             at = padded.find(f" {phrase} ", at + 1)
-    return sorted(found)
+    return sorted(zip(word_numbers(padded, places), labels, strict=True))
 
 
 def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -169,7 +169,7 @@ def estimated(
     posterior of each pattern. It starts from documents without a bad vote as probably good. A
     good document may have a bad vote by accident, but rules are taken as right about at least
     90 % of the good ones, and as no worse than chance about bad ones (accuracies add up to 1 or
-    more); good ones as half of all or more. This settles which of the two classes is meant.
+    more). This settles which of the two classes is meant, whatever their shares.
     """
     post = np.where((votes < 0).any(axis=1), 0.2, 0.9)
     for _ in range(rounds):
@@ -181,7 +181,7 @@ def estimated(
         b /= b + (yes * is_bad).sum(axis=0) + _PRIOR * (1 - _BAD)
         g = g.clip(0.9, 0.9995)
         b = np.maximum(b, 1 - g).clip(0.005, 0.995)
-        good = float(np.clip((is_good.sum() + 1) / (counts.sum() + 2), 0.5, 0.99))
+        good = float(np.clip((is_good.sum() + 1) / (counts.sum() + 2), 0.01, 0.99))
         odds = math.log(good / (1 - good)) + yes @ np.log(g / (1 - b)) + no @ np.log((1 - g) / b)
         post = 1 / (1 + np.exp(-odds))
     return good, g, b, post

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -90,6 +91,18 @@ def test_labels(text, label):
         ("This article is CC BY-SA 4.0", {"cc-by-sa-4.0"}),
         ("CC0 1.0 Universal", {"cc0-1"}),
         ("Public Domain Mark 1.0", {"cc-pdm-1"}),
+        ("her vim license; do not license isc members; the public domain mark of the stadium", set()),
+        ("dual licensed under MIT or Apache 2.0", {"mit", "apache-2"}),
+        ("available under the ISC license or the zlib license", {"isc", "zlib"}),
+        (
+            "under the terms of the GNU General Public License as published by the Free Software "
+            "Foundation; either version 2 of the License, or (at your option) any later version",
+            {"gpl-2"},
+        ),
+        (
+            "the GNU Lesser General Public License as published by the Free Software Foundation, version 2.1",
+            {"lgpl-2.1"},
+        ),
         ("licensed under a Creative Commons Attribution 4.0 International License", {"cc-by-4.0"}),
         (
             "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License",
@@ -144,3 +157,15 @@ def test_digest(spark):
     assert all(0 <= r.score <= 1 for r in out)
     assert all(set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) for r in out)
     assert licenses.digest(licenses.scanned(frame.limit(0))).count() == 0
+
+
+def test_long_texts_full_of_hits_take_linear_time():
+    text = "under the MIT license, CC BY-NC é and so on. Licensed under the Apache License 2.0. " * 12_000
+    joined = " ".join(words(text))
+    start = time.perf_counter()
+    places = licenses.base_places(joined, licenses.BASE_PHRASES)
+    found = licenses.scanner().detections(joined)
+    assert time.perf_counter() - start < 30
+    each = len(joined.split()) // 12_000
+    assert [p for p, label in places if label == "mit"] == list(range(0, 12_000 * each, each))
+    assert {d[2] for d in found} >= {"mit", "apache-2"} and found[-1][1] == len(joined.split())

@@ -64,7 +64,7 @@ def plain_em(rows, rounds):
             right = min(max(yes_g / (yes_g + no_g), 0.9), 0.9995)
             g.append(right)
             b.append(min(max(no_b / (no_b + yes_b), 1 - right, 0.005), 0.995))
-        good = min(max((sum(post) + 1) / (len(rows) + 2), 0.5), 0.99)
+        good = min(max((sum(post) + 1) / (len(rows) + 2), 0.01), 0.99)
         post = []
         for r in rows:
             odds = math.log(good / (1 - good))
@@ -84,6 +84,20 @@ def test_patterns_give_what_documents_give():
     assert [by_pattern[r] for r in rows] == pytest.approx(plain_em(rows, 30), rel=1e-9)
 
 
+@pytest.mark.parametrize("share", [0.1, 0.3, 0.5, 0.9])
+def test_share_of_good_documents_is_found_whatever_it_is(share):
+    """Ten rules, of which four in five vote: right about 96 % of the good, 50 % of the bad."""
+    rnd = np.random.default_rng(5)
+    good = rnd.random(20_000) < share
+    right = rnd.random((20_000, 10)) < np.where(good, 0.96, 0.5)[:, None]
+    votes = np.where(rnd.random((20_000, 10)) < 0.8, np.where(right == good[:, None], 1, -1), 0)
+    patterns, places, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    found, *_, post = quality.estimated(patterns.astype(float), counts.astype(float))
+    kept = post[places.ravel()] >= 0.5
+    assert abs(found - share) < 0.03
+    assert (kept & ~good).sum() < 0.2 * kept.sum() and (kept & good).sum() > 0.8 * good.sum()
+
+
 def test_edges(spark):
     rows = [(None if i == 3 else i % 40, t, "q", 1) for i, t in enumerate(texts())]
     frame = spark.createDataFrame(rows, "doc_id int, text string, kept string, measured int")
