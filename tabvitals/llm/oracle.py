@@ -215,10 +215,103 @@ SELECT doc_id, source, array_to_string(rest, chr(10)) AS text,
 FROM cut
 """
 
+
+
+def _crc_table() -> list[int]:
+    """The checksum of each byte, by shifting it through the polynomial."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
+def _crc32(ascii_text: str) -> str:
+    letters = f"list_transform(string_split({ascii_text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    table = f"CAST([{','.join(map(str, _crc_table()))}] AS BIGINT[])"
+    step = f"xor(c >> 8, {table}[CAST(xor(c, b) & 255 AS INTEGER) + 1])"
+    start = "CAST(4294967295 AS BIGINT)"
+    return f"xor(list_reduce(list_prepend({start}, {letters}), lambda c, b: {step}), {start})"
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    parts = [
+        f"coalesce(octet_length(encode(CAST({f} AS VARCHAR))) || ':' || CAST({f} AS VARCHAR), '-')"
+        for f in fields
+    ]
+    return f"sha256({' || '.join(parts)})"
+
+
+#: Levels written out, enough for 3 ** 9 documents of a source and 3 ** 5 sources.
+_INNER, _OUTER = 9, 5
+
+
+def _climb(name: str, levels: int, docs: str) -> str:
+    """Nodes of each level, the siblings of each node, and the documents one level further up.
+
+    Nodes are those of `{name}0` (tree, r, n, h); documents have tree, r, proof and folded.
+    """
+    out = []
+    window = "OVER (PARTITION BY tree, r // 3 ORDER BY r ROWS BETWEEN"
+    for k in range(levels):
+        nodes = f"{name}{k}"
+        out.append(
+            f"{name}{k + 1} AS (SELECT tree, r // 3 AS r, (n + 2) // 3 AS n, "
+            f"sha256(string_agg(h, '' ORDER BY r)) AS h FROM {nodes} WHERE n > 1 GROUP BY ALL "
+            f"UNION ALL SELECT tree, r, n, h FROM {nodes} WHERE n = 1)"
+        )
+        before = docs if k == 0 else f"{name}_docs{k}"
+        out.append(
+            f"{name}_side{k} AS (SELECT tree, r, "
+            f"coalesce(string_agg(h, '') {window} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lhs, "
+            f"coalesce(string_agg(h, '') {window} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rhs "
+            f"FROM {nodes} WHERE n > 1)"
+        )
+        out.append(
+            f"{name}_docs{k + 1} AS (SELECT f.* REPLACE ("
+            "CASE WHEN s.r IS NULL THEN f.r ELSE f.r // 3 END AS r, "
+            "proof || coalesce(lhs || rhs, '') AS proof, "
+            "CASE WHEN s.r IS NULL THEN folded ELSE sha256(lhs || folded || rhs) END AS folded) "
+            f"FROM {before} f LEFT JOIN {name}_side{k} s ON f.tree = s.tree AND f.r = s.r)"
+        )
+    return ",\n".join(out)
+
+
+_KEY = "coalesce(CAST(doc_id AS VARCHAR), '')"
+OP13 = f"""
+WITH d AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, {_leaf("text")} AS leaf,
+    CASE WHEN {_KEY} = '' OR {_crc32(_KEY)} % 2 = 0
+      THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS folded
+  FROM documents
+),
+docs AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+    count(*) OVER (PARTITION BY tree) AS n, '' AS proof
+  FROM d
+),
+inner0 AS (SELECT tree, r, n, leaf AS h FROM docs),
+{_climb("inner", _INNER, "docs")},
+outer0 AS (
+  SELECT 0 AS tree, tree AS r, count(*) OVER () AS n, h FROM inner{_INNER}
+),
+up AS (
+  SELECT f.* REPLACE (0 AS tree, f.tree AS r), s.h AS subroot
+  FROM inner_docs{_INNER} f JOIN inner{_INNER} s ON f.tree = s.tree
+),
+{_climb("outer", _OUTER, "up")}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root,
+  folded = root AS verified
+FROM outer_docs{_OUTER}, (SELECT h AS root FROM outer{_OUTER})
+"""
+
 ORACLE = {
     "op4_warc": OP4,
     "op7_secrets": OP7,
     "op8_sharding": OP8,
     "op9_near_duplicates": OP9,
     "op10_line_dedup": OP10,
+    "op13_merkle": OP13,
 }
