@@ -227,8 +227,11 @@ def _crc_table() -> list[int]:
     return table
 
 
-def _crc32(ascii_text: str) -> str:
-    letters = f"list_transform(string_split({ascii_text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+def _crc32(text: str) -> str:
+    letters = (
+        f"list_transform(range(octet_length(encode({text}))), lambda i: "
+        f"CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT))"
+    )
     table = f"CAST([{','.join(map(str, _crc_table()))}] AS BIGINT[])"
     step = f"xor(c >> 8, {table}[CAST(xor(c, b) & 255 AS INTEGER) + 1])"
     start = "CAST(4294967295 AS BIGINT)"
@@ -307,11 +310,60 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS fol
 FROM outer_docs{_OUTER}, (SELECT h AS root FROM outer{_OUTER})
 """
 
+OP12 = f"""
+WITH RECURSIVE runs AS (
+  SELECT {_KEY} AS k, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+  FROM documents
+),
+counted AS (SELECT k, run, count(*) AS n FROM runs GROUP BY k, run),
+hashed AS (SELECT run, n, {_crc32("k || ':' || run")} AS h FROM counted),
+thinned AS (
+  SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER))
+    || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word FROM hashed
+),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM thinned
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+),
+parts AS (
+  SELECT word, word AS part FROM words UNION
+  SELECT word, unnest(list_transform(range(length(word)), lambda i:
+    substr(word, 1, CAST(i AS INTEGER)) || substr(word, CAST(i AS INTEGER) + 2))) FROM words
+),
+pairs AS (
+  SELECT DISTINCT a.word AS word, b.word AS near FROM parts a JOIN parts b USING (part)
+  WHERE a.word <> b.word AND (length(a.word) <> length(b.word) OR list_sum(list_transform(
+    range(length(a.word)), lambda i: CAST(substr(a.word, CAST(i AS INTEGER) + 1, 1)
+      <> substr(b.word, CAST(i AS INTEGER) + 1, 1) AS INTEGER))) = 1)
+    AND (length(a.word) = length(b.word)
+      OR part = CASE WHEN length(a.word) < length(b.word) THEN a.word ELSE b.word END)
+),
+best AS (
+  SELECT p.word, count(*) AS n_near, arg_min(near, (-w.n, near)) AS near, max(w.n) AS near_n
+  FROM pairs p JOIN words w ON w.word = p.near GROUP BY p.word
+),
+forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form,
+    CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+),
+paths AS (
+  SELECT word, word AS at FROM forms
+  UNION SELECT p.word, f.form FROM paths p JOIN forms f ON f.word = p.at WHERE f.form IS NOT NULL
+),
+roots AS (
+  SELECT p.word, p.at AS root FROM paths p JOIN forms f ON f.word = p.at WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
 ORACLE = {
     "op4_warc": OP4,
     "op7_secrets": OP7,
     "op8_sharding": OP8,
     "op9_near_duplicates": OP9,
     "op10_line_dedup": OP10,
+    "op12_spelling": OP12,
     "op13_merkle": OP13,
 }
