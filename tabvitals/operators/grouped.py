@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tabvitals.functions.numeric import quoted
 from tabvitals.operators.measure import group_name
-from tabvitals.operators.quantiles import ERROR, sketch
+from tabvitals.operators.quantiles import ERROR, sketches
 from tabvitals.sources.scratch import written
 
 _QUARTERS = (1, 3)
@@ -49,7 +49,7 @@ def _brackets(values: DataFrame, keys: list[str], n: int) -> DataFrame:
     """A row per group: the ends of its brackets, `low1_0` and so on; null without values."""
     ends = [min(1.0, max(0.0, q / 4 + d)) for q in _QUARTERS for d in (-2 * ERROR, 2 * ERROR)]
     listed = ", ".join(f"{e!r}D" for e in ends)
-    sketches = values.groupBy(*keys).agg(*[F.expr(f"{sketch(f'v{i}')} AS s{i}") for i in range(n)])
+    made = sketches(values, [f"v{i}" for i in range(n)], keys)
     found = [
         f"CASE WHEN kll_sketch_get_n_double(s{i}) > 0 "
         f"THEN kll_sketch_get_quantile_double(s{i}, array({listed})) END AS e{i}"
@@ -57,7 +57,7 @@ def _brackets(values: DataFrame, keys: list[str], n: int) -> DataFrame:
     ]
     names = [quoted(k) for k in keys]
     flat = [f"e{i}[{k}] AS {name}_{i}" for i in range(n) for k, name in enumerate(_ENDS)]
-    return sketches.selectExpr(*names, *found).selectExpr(*names, *flat)
+    return made.selectExpr(*names, *found).selectExpr(*names, *flat)
 
 
 def _neighbours(values: DataFrame, brackets: DataFrame, keys: list[str], n: int) -> DataFrame:

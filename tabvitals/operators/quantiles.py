@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
 
-from tabvitals.functions.numeric import number, quoted
+from tabvitals.functions.numeric import column, number, quoted
 from tabvitals.functions.text import literal
 from tabvitals.sources.scratch import written
 
@@ -48,6 +48,7 @@ _BIN = "CASE WHEN by_value THEN 0D WHEN value = low THEN -1D WHEN value = high T
 # the JVM to compile (8000 bytes).
 _COLUMNS_PER_JOB = 12
 _JOBS = 4
+_MERGERS = 256
 _DIGITS = Context(prec=1000)
 
 
@@ -228,9 +229,22 @@ def sketch(value: str) -> str:
     return f"kll_sketch_agg_double(CAST({value} AS DOUBLE), {_K})"
 
 
+def sketches(values: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
+    """A row per group, or one without keys: the sketch of each column (`s0` and so on).
+
+    Every task of the scan makes sketches of some 400 kB. They are merged in `_MERGERS` tasks
+    first, so that neither one task nor that of a large group gets those of the whole table.
+    """
+    merger = f"pmod(spark_partition_id(), {_MERGERS}) AS merger"
+    made = [F.expr(f"{sketch(quoted(c))} AS s{i}") for i, c in enumerate(columns)]
+    merged = [F.expr(f"kll_merge_agg_double(s{i}) AS s{i}") for i in range(len(columns))]
+    some = values.selectExpr("*", merger).groupBy(*keys, "merger").agg(*made)
+    return some.groupBy(*keys).agg(*merged)
+
+
 def _sketched(values: DataFrame, columns: list[str], ranks: list[float]) -> DataFrame:
     """A row with a struct per column: rows (n) and the values at the ranks (at)."""
-    row = values.selectExpr(*[f"{sketch(quoted(c))} AS s{i}" for i, c in enumerate(columns)])
+    row = sketches(values.select(*[column(c) for c in columns]), columns, [])
     listed = ", ".join(f"{r!r}D" for r in ranks)
     structs = []
     for i in range(len(columns)):

@@ -18,14 +18,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabvitals.functions.numeric import normalise, quoted, rounded_scaled
+from tabvitals.functions.numeric import column, normalise, quoted, rounded_scaled
 from tabvitals.functions.text import literal
 from tabvitals.operators.expectations import (
     Expectation,
     expectation_aggregates,
     validation_rows,
 )
-from tabvitals.operators.measure import Aggregates, materialise, measure, row_count, to_rows
+from tabvitals.operators.measure import (
+    Aggregates,
+    materialise,
+    measure,
+    merge_rows,
+    row_count,
+    to_rows,
+)
 from tabvitals.operators.nulls import null_aggregates, null_rows
 from tabvitals.operators.overview import (
     column_type_rows,
@@ -33,7 +40,7 @@ from tabvitals.operators.overview import (
     overview_rows,
     size_aggregates,
 )
-from tabvitals.operators.quantiles import sketch
+from tabvitals.operators.quantiles import sketches
 from tabvitals.operators.rules import Rule, applicable, rule_aggregates, rule_rows
 
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -95,7 +102,7 @@ def _counts(df: DataFrame, rules: Sequence[Rule], suite: Sequence[Expectation])
 
 
 def _moments(df: DataFrame) -> Aggregates:
-    """Per numeric column: count, mean, sum of squared distances from it, range and sketch."""
+    """Per numeric column: count, mean, sum of squared distances from it, and range."""
     result = {}
     for i, name in enumerate(numeric_columns(df)):
         value, place = f"CAST({quoted(name)} AS DOUBLE)", df.columns.index(name)
@@ -105,7 +112,6 @@ def _moments(df: DataFrame) -> Aggregates:
             "spread": f"coalesce(var_pop({value}) * count({value}), 0D)",
             "min": f"min({value})",
             "max": f"max({value})",
-            "sketch": sketch(value),
         }
         result |= {f"{k}_{i}": (place, F.expr(a)) for k, a in aggregates.items()}
     return result
@@ -140,8 +146,12 @@ def save_state(
 ) -> None:
     """Scan a part of a table and write its state below `path`, in place of an earlier one."""
     clean = normalise(df)
-    measured = measure(clean, _counts(clean, applicable(clean, rules), suite) | _moments(clean))
-    row = measured.withColumn("columns", F.lit(json.dumps(clean.schema.jsonValue())))
+    parts = [measure(clean, _counts(clean, applicable(clean, rules), suite) | _moments(clean))]
+    if numeric := numeric_columns(clean):
+        made = sketches(clean.select(*[column(c) for c in numeric]), numeric, [])
+        names = {f"s{i}": f"sketch_{i}" for i in range(len(numeric))}
+        parts.append(made.withColumnsRenamed(names))
+    row = merge_rows(parts).withColumn("columns", F.lit(json.dumps(clean.schema.jsonValue())))
     row = row.withColumn("dataset", F.lit(dataset)).withColumn("part", F.lit(part))
     (
         row.coalesce(1)
