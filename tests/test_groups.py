@@ -93,3 +93,26 @@ def test_names_that_clash(spark):
     df = spark.range(3).withColumn("severity", F.lit("x"))
     with pytest.raises(ValueError, match="severity"):
         tv.null_profile(df, by=["severity"])
+
+
+def test_rows_are_not_shuffled_to_the_brackets_of_their_group(spark, tmp_path, monkeypatch):
+    """Not either if the sketches are larger than what Spark broadcasts."""
+    joined, limit = [], "spark.sql.autoBroadcastJoinThreshold"
+    written, before = grouped.written, spark.conf.get(limit)
+
+    def seen(rows, name):
+        if name == "ranks":
+            joined.append(rows._jdf.queryExecution().sparkPlan().toString())
+        return written(rows, name)
+
+    monkeypatch.setattr(grouped, "written", seen)
+    spark.conf.set(limit, "64k")
+    try:
+        df = spark.range(0, 40_000, 1, 8).selectExpr("id % 2 AS g", "hash(id) * 1D AS x")
+        # Read from a table, whose size is no estimate.
+        df.write.parquet(f"{tmp_path}/t")
+        rows = tv.outlier_profile(spark.read.parquet(f"{tmp_path}/t"), ["x"], by=["g"]).collect()
+    finally:
+        spark.conf.set(limit, before)
+    assert [r.column_name for r in rows] == ["x", "x"]
+    assert "BroadcastHashJoin" in joined[0] and "SortMergeJoin" not in joined[0]
