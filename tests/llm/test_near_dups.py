@@ -1,8 +1,10 @@
 import random
+import tracemalloc
 
 import pytest
 
 from tabvitals.llm import near_dups
+from tabvitals.llm.common import WordHashes
 from tabvitals.llm.components import components
 
 SCHEMA = "doc_id int, text string, kept string, row_hash int"
@@ -193,3 +195,15 @@ def test_buckets_with_the_same_members_are_compared_once(spark):
     out = {tuple(r) for r in near_dups.open_buckets(labelled).collect()}
     assert out == {(7, 7, 2, 3, 1), (20, 0, 2, 2, 1)}
 
+
+
+def test_kept_hashes_are_few_enough_for_small_workers():
+    """And hashes stay the same when all that are kept are dropped."""
+    hashes = WordHashes()
+    words = [b"word-%d" % i for i in range(250_000)]
+    tracemalloc.start()
+    first = hashes.of(words)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 15e6
+    assert (hashes.of(words) == first).all()
