@@ -12,6 +12,10 @@ Null and empty texts have no words, so quality rejects them. A document whose li
 its row with an empty text; such rows form no groups, hold no items and have no tokens. Of
 repeated rows one stays. Rows without id or source are documents like others, further columns are
 kept as they are (`n_chars` follows the text), and empty tables give empty ones.
+
+An executor's memory is shared by all stages: its Python workers stay, with what they keep, when the
+next stage begins. So texts go to Python in small batches, a setting that the session keeps, and
+encoders keep fewer words than those of `op5_bpe`; both cost time only.
 """
 
 import public_tokenizers
@@ -21,9 +25,23 @@ from pyspark.sql import functions as F
 from tabvitals.llm import bpe, decontaminate, lines, near_dups, quality
 from tabvitals.llm.common import written
 
+BATCH = "4m"  # bytes that go to Python at once; 10,000 whole texts otherwise
+KEPT_WORDS = 100_000  # of a generation; an executor has an encoder per core
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of some `BATCH` bytes, unless the session has a limit of its own.
+
+    For each core an executor holds a batch in Arrow, again as it is sent, and in Python.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, BATCH)
+
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents that are good by the rules' votes."""
+    small_batches(spark)
     return quality.without_rejects(docs, "text")
 
 
@@ -37,19 +55,22 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
 def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    small_batches(spark)
     return near_dups.without_copies(docs, "doc_id", "text")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents that hold no benchmark item."""
+    small_batches(spark)
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     return docs.filter(~decontaminate.holds(F.col("text"), items))
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The token ids of each document, their number, and digests of ids and decoded text."""
+    small_batches(spark)
     vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
-    return bpe.coded(docs, vocabulary, "doc_id", "text")
+    return bpe.coded(docs, vocabulary, "doc_id", "text", kept_words=KEPT_WORDS)
 
 
 STAGES = [

@@ -1,14 +1,16 @@
 import hashlib
 import inspect
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 import public_tokenizers
-from tabvitals.llm import quality
+from tabvitals.llm import bpe, quality
 from tabvitals.llm.common import plain_words
 from test_decontaminate import distance, edited
 from test_lines import expected as without_lines
@@ -96,3 +98,40 @@ def test_stages(spark):
             out = stage(spark, docs_in, GIVEN)
             assert out.columns == docs.columns and out.count() <= docs_in.count()
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), GIVEN).count() == 0
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """For each stage that runs Python, and only if the session has no limit of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    texts = spark.range(0, 4000, 1, 1).selectExpr("repeat(cast(id as string), 1000) as text")
+    docs = spark.createDataFrame(fixture()[0][:3], SCHEMA)
+    try:
+        for stage in [s for k, s in corpus_pipeline.STAGES if k != "line dedup"]:
+            spark.conf.unset(name)
+            stage(spark, docs, GIVEN)
+            found = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+            assert sum(found) > 14e6 and max(found) < 5e6
+        spark.conf.set(name, "1m")
+        corpus_pipeline.small_batches(spark)
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+def test_encoders_are_small():
+    """What an encoder keeps of many words, its vocabulary aside; and ids stay the same."""
+    vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    coder = bpe.Coder(vocabulary, corpus_pipeline.KEPT_WORDS)
+    texts = [" ".join(f"w{i:x}" for i in range(a, a + 20_000)) for a in range(0, 400_000, 20_000)]
+    tracemalloc.start()
+    first = [hashlib.sha256(ids.encode()).digest() for t in texts for ids in coder.listed([t])]
+    kept, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept < 50e6
+    assert [hashlib.sha256(ids.encode()).digest() for ids in coder.listed(texts)] == first
