@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabvitals.llm.common import written
+from tabvitals.llm.common import in_few_tasks, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,11 +16,9 @@ def components(links: DataFrame) -> DataFrame:
     be given in one direction; only longs are shuffled, and each round is read from a table.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = written(both.filter("a <> b").distinct(), "links")
-    labels = written(
-        both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")),
-        "labels",
-    )
+    both = written(in_few_tasks(both.filter("a <> b").distinct()), "links")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label"))
+    labels = written(in_few_tasks(labels), "labels")
     while True:
         around = (
             both.join(labels.select(F.col("node").alias("b"), "label"), "b")
@@ -36,7 +34,7 @@ def components(links: DataFrame) -> DataFrame:
             F.least("least", "far").alias("label"),
             (F.least("least", "far") < F.col("label")).alias("changed"),
         )
-        after = written(after, "labels")
+        after = written(in_few_tasks(after), "labels")
         changed = after.filter("changed").limit(1).count()
         labels = after.select("node", "label")
         if not changed:

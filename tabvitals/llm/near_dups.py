@@ -31,7 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabvitals.llm.common import WordHashes, fresh, shingle_hashes, spaced_words, written
+from tabvitals.llm.common import (
+    WordHashes,
+    fresh,
+    in_few_tasks,
+    shingle_hashes,
+    spaced_words,
+    written,
+)
 from tabvitals.llm.components import components
 from tabvitals.llm.sketch import band_keys, fingerprint
 
@@ -263,7 +270,7 @@ def rest(
         "component", F.coalesce("component", "node")
     )
     labelled = written(labelled, "labelled")
-    tasks = dealt(labelled.drop("band"), written(open_buckets(labelled), "open"))
+    tasks = dealt(labelled.drop("band"), written(in_few_tasks(open_buckets(labelled)), "open"))
     rows = tasks.join(nodes.select("node", "bands"), "node").join(texts, "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:

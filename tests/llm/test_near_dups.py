@@ -145,6 +145,24 @@ def test_components(spark):
     }
 
 
+def test_small_tables_are_few_files(spark):
+    """Of links and labels, though a session has many partitions for its texts."""
+    conf = {"spark.sql.shuffle.partitions": "160", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    links = spark.createDataFrame([(i, i + 1500) for i in range(1500)], "a bigint, b bigint")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        labels = components(links)
+        assert 1 < len(labels.inputFiles()) <= max(20, 2 * spark.sparkContext.defaultParallelism)
+        assert sorted(map(tuple, labels.collect())) == sorted(
+            (n, i) for i in range(1500) for n in (i, i + 1500)
+        )
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
+
+
 def family(n, outsiders, seed=5):
     """Near copies of a text, and texts that share buckets with them but are below the limit."""
     rnd = random.Random(seed)
